@@ -56,9 +56,12 @@ def spend_by_channel(ad_spend: DataFrame) -> DataFrame:
 def first_session(sessions: DataFrame) -> DataFrame:
     """First session of each customer by (date, id), as columns of that session."""
     payload = [c for c in sessions.columns if c != "customer_id"]
-    first = F.min_by(F.struct(*payload), F.struct("session_date", "session_id"))
+    rest = [c for c in payload if c not in ("session_date", "session_id")]
+    first = F.min(F.struct(F.col("session_date").isNull().alias("_undated"), "session_date",
+                           "session_id", *rest))
     return (sessions.where("customer_id IS NOT NULL").groupBy("customer_id")
-            .agg(first.alias("_first")).select("customer_id", "_first.*"))
+            .agg(first.alias("_first"))
+            .select("customer_id", *[F.col(f"_first.{c}").alias(c) for c in payload]))
 
 
 def new_paying_customers(sessions: DataFrame, orders: DataFrame,

@@ -111,10 +111,12 @@ def attribute_journeys(orders: DataFrame, sessions: DataFrame, channels: DataFra
         journeys(per_day, visits, k)
         .select("n_orders", "total", weighted.alias("known"))
         .where(F.size("known") > 0)
-        .select("n_orders", "total", F.size("known").alias("n"),
-                F.aggregate(F.transform("known", lambda t: t["w"]), F.lit(0.0),
-                            lambda acc, w: acc + w).alias("w_sum"),
-                F.transform("known", lambda t: t["channel_id"]).alias("ids"),
+        # Per journey, in a select of its own: beside the explode it would be
+        # evaluated once per touch.
+        .select("n_orders", "total", "known", F.size("known").alias("n"),
+                F.aggregate("known", F.lit(0.0), lambda acc, t: acc + t["w"]).alias("w_sum"),
+                F.transform("known", lambda t: t["channel_id"]).alias("ids"))
+        .select("n_orders", "total", "n", "w_sum", "ids",
                 F.posexplode("known").alias("pos", "touch"))
         .select(F.col("touch.channel_id").alias("channel_id"), "n", "total",
                 # A channel seen twice in a journey counts the orders once.

@@ -70,18 +70,21 @@ def swap_inverted_dates(df: DataFrame, start: str = "start_date",
 
 # --- log -----------------------------------------------------------------
 
-def _null_total(columns) -> Column:
-    parts = [F.count_if(F.col(c).isNull()) for c in columns]
-    return reduce(lambda a, b: a + b, parts)
+def _rows() -> Column:
+    return F.count("*")
 
 
-def _stage(df: DataFrame, file: str, sign: Mapping[str, int], **counters: Column) -> DataFrame:
-    """One row of log counts for one stage. ``sign`` adds the stage's own row count
-    to the named log columns; log columns not mentioned are 0."""
-    row = df.agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in counters.items()])
-    return row.select(F.lit(file).alias("file"), *[
-        ((F.col(n) if n in counters else F.lit(0)) + F.col("_rows") * sign.get(n, 0))
-        .cast("bigint").alias(n) for n in LOG_COUNTS])
+def _total(conditions) -> Column:
+    """Rows meeting each condition, added up."""
+    return reduce(lambda a, b: a + b, [F.count_if(c) for c in conditions])
+
+
+def _stage(df: DataFrame, file: str, **counters: Column) -> DataFrame:
+    """One row of log counts taken from one stage; counts not named are 0."""
+    return (df.agg(*[c.alias(n) for n, c in counters.items()])
+            .select(F.lit(file).alias("file"),
+                    *[(F.col(n) if n in counters else F.lit(0)).cast("bigint").alias(n)
+                      for n in LOG_COUNTS]))
 
 
 def _log(*stages: DataFrame) -> DataFrame:
@@ -106,11 +109,12 @@ def clean_events(raw: DataFrame, order_by: Sequence[str | Column],
                 "event_date": parse_date(F.col("event_date")),
                 "event_datetime": micros_to_ts(F.col("event_timestamp")),
                 "items_value": negative_to_null(F.col("items_value"))}))
+    keep = F.col("user_pseudo_id").isNotNull() & F.col("event_name").isNotNull()
     log = _log(
-        _stage(raw, file, {"rows_in": 1, "duplicates_removed": 1}),
-        _stage(unique, file, {"duplicates_removed": -1}),
-        _stage(kept, file, {"rows_out": 1}, nulls_fixed=_null_total(EVENT_FILL),
-               invalid_values_fixed=F.count_if(F.col("items_value") < 0)))
+        _stage(raw, file, rows_in=_rows(), duplicates_removed=_rows()),
+        _stage(unique, file, duplicates_removed=-_rows(), rows_out=F.count_if(keep),
+               nulls_fixed=_total(keep & F.col(c).isNull() for c in EVENT_FILL),
+               invalid_values_fixed=F.count_if(keep & (F.col("items_value") < 0))))
     return Cleaned(rows, log)
 
 
@@ -128,11 +132,12 @@ def clean_items(raw: DataFrame, order_by: Sequence[str | Column],
     rows = unique.withColumns({
         "event_date": parse_date(F.col("event_date")),
         "event_datetime": micros_to_ts(F.col("event_timestamp"))})
+    has_item = F.col("item_id").isNotNull()
     log = _log(
-        _stage(raw, file, {"rows_in": 1}),
-        _stage(kept, file, {"duplicates_removed": 1}, nulls_fixed=_null_total(ITEM_FILL),
-               invalid_values_fixed=F.count_if(bad("price")) + F.count_if(bad("quantity"))),
-        _stage(unique, file, {"rows_out": 1, "duplicates_removed": -1}))
+        _stage(raw, file, rows_in=_rows(), duplicates_removed=F.count_if(has_item),
+               nulls_fixed=_total(has_item & F.col(c).isNull() for c in ITEM_FILL),
+               invalid_values_fixed=_total(has_item & bad(c) for c in ("price", "quantity"))),
+        _stage(unique, file, rows_out=_rows(), duplicates_removed=-_rows()))
     return Cleaned(rows, log)
 
 
@@ -140,9 +145,9 @@ def clean_channels(raw: DataFrame, order_by: Sequence[str | Column],
                    file: str = "marketing_channels.csv") -> Cleaned:
     unique = dedup_first(raw, CHANNEL_KEY, order_by)
     log = _log(
-        _stage(raw, file, {"rows_in": 1, "duplicates_removed": 1}),
-        _stage(unique, file, {"rows_out": 1, "duplicates_removed": -1},
-               nulls_fixed=_null_total(CHANNEL_FILL)))
+        _stage(raw, file, rows_in=_rows(), duplicates_removed=_rows()),
+        _stage(unique, file, rows_out=_rows(), duplicates_removed=-_rows(),
+               nulls_fixed=_total(F.col(c).isNull() for c in CHANNEL_FILL)))
     return Cleaned(fill_unknown(unique, CHANNEL_FILL), log)
 
 
@@ -151,10 +156,10 @@ def clean_campaigns(raw: DataFrame, file: str = "campaigns.csv") -> Cleaned:
     parsed = raw.withColumns({c: parse_date(F.col(c), "yyyy-MM-dd")
                               for c in ("start_date", "end_date")})
     rows = drop_null_keys(swap_inverted_dates(parsed), ["campaign_id", "channel_id"])
-    log = _log(
-        _stage(parsed, file, {"rows_in": 1},
-               invalid_values_fixed=F.count_if(F.col("end_date") < F.col("start_date"))),
-        _stage(rows, file, {"rows_out": 1}))
+    mapped = F.col("campaign_id").isNotNull() & F.col("channel_id").isNotNull()
+    log = _log(_stage(
+        parsed, file, rows_in=_rows(), rows_out=F.count_if(mapped),
+        invalid_values_fixed=F.count_if(F.col("end_date") < F.col("start_date"))))
     return Cleaned(rows, log)
 
 
@@ -166,7 +171,7 @@ def clean_ad_spend(raw: DataFrame, order_by: Sequence[str | Column],
         "amount": invalid_to_default(F.col("amount"), 0).cast(raw.schema["amount"].dataType)})
     unique = dedup_first(repaired, SPEND_KEY, order_by)
     log = _log(
-        _stage(raw, file, {"rows_in": 1, "duplicates_removed": 1},
+        _stage(raw, file, rows_in=_rows(), duplicates_removed=_rows(),
                invalid_values_fixed=F.count_if(F.col("amount").isNull() | (F.col("amount") < 0))),
-        _stage(unique, file, {"rows_out": 1, "duplicates_removed": -1}))
+        _stage(unique, file, rows_out=_rows(), duplicates_removed=-_rows()))
     return Cleaned(unique, log)

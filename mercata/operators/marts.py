@@ -1,8 +1,8 @@
 """Staging tables to star-schema marts.
 
-"First" and "latest" rows are taken with min_by / max_by on a struct, which combine
-on the map side: a session, product or transaction with much of the data is reduced
-to one row per input split before anything is shuffled.
+"First" and "latest" rows are the min / max of one struct that starts with the order,
+which combines on the map side: a session, product or transaction with much of the data
+is reduced to one row per input split before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ def _first(df: DataFrame, key: str, payload: dict[str, Column], ts: str,
            tiebreak: Sequence[str]) -> DataFrame:
     """Payload of the earliest row per key; rows without time come last, and equal
     times are settled by ``tiebreak`` and then by the payload itself."""
-    packed = F.struct(*[c.alias(n) for n, c in payload.items()])
-    order = F.struct(F.col(ts).isNull(), F.col(ts), *tiebreak, packed)
-    return (df.groupBy(F.col(key).alias("_key"))
-            .agg(F.min_by(packed, order).alias("_row"))
-            .select(F.col("_key"), "_row.*"))
+    order = F.struct(F.col(ts).isNull().alias("_late"), F.col(ts).alias("_at"),
+                     F.struct(F.lit(0).alias("_"), *tiebreak).alias("_tie"),
+                     F.struct(*[c.alias(n) for n, c in payload.items()]).alias("row"))
+    return (df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+            .select(F.col("_key"), "_first.row.*"))
 
 
 def mart_channels(staged: DataFrame) -> DataFrame:
@@ -43,8 +43,7 @@ def mart_products(items: DataFrame) -> DataFrame:
 
     A row without time never wins over one that has it; equal times go to the
     highest price, then the last name."""
-    latest = F.max_by(F.struct("item_name", "item_category", "price"),
-                      F.struct("event_datetime", "price", "item_name", "item_category"))
+    latest = F.max(F.struct("event_datetime", "price", "item_name", "item_category"))
     return (items.groupBy("item_id").agg(latest.alias("_row"))
             .select(F.col("item_id").alias("product_id"),
                     F.col("_row.item_name").alias("product_name"),

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata import schemas
 from mercata.functions.columns import money, session_key, ts_to_micros
 from mercata.operators import channels as ch
 from mercata.operators import marts
@@ -38,14 +37,24 @@ def _pick(values, index: Column) -> Column:
 
 # --- family E ------------------------------------------------------------
 
+def _event_name() -> Column:
+    name = F.lit(None).cast("string")
+    for event_type, event_name in EVENT_NAME.items():
+        name = F.when(F.col("event_type") == event_type, event_name).otherwise(name)
+    return name
+
+
+def _day_number(day: str) -> Column:
+    """2024-01-05 as the whole number 20240105."""
+    return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint")
+
+
 def base_events(spark: SparkSession, sf: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     return table(spark, sf, "events").select(
         "event_id", "ts", F.to_date("ts").alias("event_date"),
         F.col("user_id").cast("string").alias("user_pseudo_id"),
-        F.create_map(*[F.lit(x) for kv in EVENT_NAME.items() for x in kv])[F.col("event_type")]
-        .alias("event_name"),
-        money(F.col("value")).alias("value"), k.alias("k"))
+        _event_name().alias("event_name"), money(F.col("value")).alias("value"), k.alias("k"))
 
 
 def _source(k: Column) -> Column:
@@ -59,7 +68,7 @@ def _medium(k: Column) -> Column:
 def staged_events(spark: SparkSession, sf: str) -> DataFrame:
     """Clean flat events, plus ``event_id`` to break ties."""
     k, bought = F.col("k"), F.col("event_name") == "purchase"
-    day_number = F.date_format("event_date", "yyyyMMdd").cast("bigint")
+    day_number = _day_number("event_date")
     return base_events(spark, sf).select(
         "event_id", "event_date", F.col("ts").alias("event_datetime"), "event_name",
         "user_pseudo_id", day_number.alias("ga_session_id"),
@@ -94,7 +103,7 @@ def _items(k: Column, event_id: Column, value: Column) -> Column:
 def nested_events(spark: SparkSession, sf: str) -> DataFrame:
     """The nested export shape; every eleventh event lacks its session id."""
     k, eid = F.col("k"), F.col("event_id")
-    day = F.date_format("event_date", "yyyyMMdd")
+    day = _day_number("event_date").cast("string")
 
     def param(key: str, text: Column, number: Column) -> Column:
         return F.struct(F.lit(key).alias("key"), F.struct(
@@ -123,7 +132,7 @@ def nested_events(spark: SparkSession, sf: str) -> DataFrame:
 def staged_items(spark: SparkSession, sf: str) -> DataFrame:
     """Clean flat items of all but page views."""
     item = F.explode(_items(F.col("k"), F.col("event_id"), F.col("value")))
-    day_number = F.date_format("event_date", "yyyyMMdd").cast("bigint")
+    day_number = _day_number("event_date")
     return (base_events(spark, sf).where("event_name <> 'page_view'")
             .select("*", item.alias("item"))
             .select("event_date", F.col("ts").alias("event_datetime"), "user_pseudo_id",
@@ -148,7 +157,7 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     clean = staged_events(spark, sf).select(
         (eid * 2).alias("line_no"),
         F.when(eid % 97 == 0, "2024-13-99")
-        .otherwise(F.date_format("event_date", "yyyyMMdd")).alias("event_date"),
+        .otherwise(_day_number("event_date").cast("string")).alias("event_date"),
         ts_to_micros(F.col("event_datetime")).alias("event_timestamp"), "event_name",
         unless(101, F.col("user_pseudo_id")).alias("user_pseudo_id"), "ga_session_id",
         "page_location", unless(17, F.col("traffic_source")).alias("traffic_source"),
@@ -167,11 +176,11 @@ def raw_items(spark: SparkSession, sf: str) -> DataFrame:
     """Flat raw items with dirt and repeated lines."""
     eid = F.col("event_id")
     item = F.posexplode(_items(F.col("k"), eid, F.col("value")))
-    day_number = F.date_format("event_date", "yyyyMMdd").cast("bigint")
+    day_number = _day_number("event_date")
     clean = (base_events(spark, sf).where("event_name <> 'page_view'")
              .select("*", item.alias("pos", "item"))
              .select((eid * 8 + F.col("pos") * 2).alias("line_no"),
-                     F.date_format("event_date", "yyyyMMdd").alias("event_date"),
+                     _day_number("event_date").cast("string").alias("event_date"),
                      ts_to_micros(F.col("ts")).alias("event_timestamp"), "user_pseudo_id",
                      day_number.alias("ga_session_id"), "event_name",
                      F.when(F.col("event_name") == "purchase",
@@ -191,7 +200,9 @@ def raw_items(spark: SparkSession, sf: str) -> DataFrame:
 
 def channel_rows(spark: SparkSession) -> DataFrame:
     """The channel dimension used for look-ups (five rows)."""
-    return spark.createDataFrame(CHANNEL_ROWS, schemas.CHANNELS)
+    rows = ", ".join(f"({i}, '{name}', '{kind}')" for i, name, kind in CHANNEL_ROWS)
+    return spark.sql("SELECT * FROM VALUES " + rows
+                     + " AS c(channel_id, channel_name, channel_type)")
 
 
 def staged_channels(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,7 +248,7 @@ def daily_spend(spark: SparkSession, sf: str) -> DataFrame:
 
 def ad_spend(spark: SparkSession, sf: str) -> DataFrame:
     return ch.assign_campaign(daily_spend(spark, sf), campaigns(spark, sf)).select(
-        F.date_format("spend_date", "yyyyMMdd").cast("int").alias("spend_id"), "channel_id",
+        _day_number("spend_date").cast("int").alias("spend_id"), "channel_id",
         "campaign_id", "spend_date", "amount")
 
 
@@ -261,11 +272,16 @@ def e_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def e_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders: the transaction id is unique per purchase event, so no grouping is needed."""
-    return staged_events(spark, sf).where("transaction_id IS NOT NULL").select(
-        F.col("transaction_id").alias("order_id"), F.col("user_pseudo_id").alias("customer_id"),
-        "session_id", F.col("event_date").alias("order_date"),
-        F.lit("completed").alias("order_status"), F.col("items_value").alias("order_total"))
+    """Orders: every purchase event is one transaction, so no grouping is needed. The
+    filter is on the stored column and reaches the Parquet scan."""
+    day = _day_number("order_date")
+    return (table(spark, sf, "events").where("event_type = 'purchase'")
+            .select(F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("order_id"),
+                    F.col("user_id").cast("string").alias("customer_id"),
+                    F.to_date("ts").alias("order_date"), money(F.col("value")).alias("order_total"))
+            .select("order_id", "customer_id",
+                    session_key(F.col("customer_id"), day).alias("session_id"), "order_date",
+                    F.lit("completed").alias("order_status"), "order_total"))
 
 
 # --- family O ------------------------------------------------------------
@@ -275,7 +291,7 @@ def o_orders(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.concat(F.col("o_custkey").cast("string"), F.lit("_"),
-                 F.date_format("o_orderdate", "yyyyMMdd")).alias("session_id"),
+                 _day_number("o_orderdate").cast("string")).alias("session_id"),
         F.to_date("o_orderdate").alias("order_date"),
         F.col("o_orderstatus").alias("order_status"),
         money(F.col("o_totalprice")).alias("order_total"))
@@ -290,7 +306,7 @@ def o_sessions(spark: SparkSession, sf: str) -> DataFrame:
             .groupBy("o_custkey", F.to_date("o_orderdate").alias("session_date"))
             .agg(first.alias("f"))
             .select(F.concat(F.col("o_custkey").cast("string"), F.lit("_"),
-                             F.date_format("session_date", "yyyyMMdd")).alias("session_id"),
+                             _day_number("session_date").cast("string")).alias("session_id"),
                     F.col("o_custkey").cast("string").alias("customer_id"), "session_date",
                     _pick([s for s, _ in CLASSES], F.col("f.cls")).alias("traffic_source"),
                     _pick([m for _, m in CLASSES], F.col("f.cls")).alias("traffic_medium")))
