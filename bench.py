@@ -36,6 +36,8 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        # Small local inputs: let post-shuffle partitions stay small enough for all cores.
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64k",
         spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     timings = {}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,14 +18,26 @@ STATUS_UNVERIFIED = "FLAGGED - contains unverified number"
 STATUS_MISLABELLED = "FLAGGED - ROAS mislabeled as dollar amount"
 STATUS_PASSED = "PASSED"
 
-# What separates words: every Unicode space, plus the ASCII separators 1C to 1F.
-SPACE = (r"\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}"
-         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# Characters that separate words besides the six a plain \s matches: the ASCII
+# separators 1C to 1F and all other Unicode spaces.
+OTHER_SPACES = "".join(map(chr, (
+    0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000)))
+
+
+# Decimal digits of all other scripts, by rule, and the ASCII digits they stand for.
+_DIGITS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+OTHER_DIGITS = "".join(_DIGITS)
+OTHER_DIGIT_VALUES = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
 
 
 def extract_numbers(text: Column) -> Column:
-    """All numbers of a text as absolute doubles, thousands commas removed."""
-    found = F.regexp_extract_all(F.replace(text, F.lit(","), F.lit("")),
+    """All numbers of a text as absolute doubles, thousands commas removed.
+
+    Digits of any script count; texts that hold such digits are rewritten first."""
+    ascii_digits = F.when(text.rlike(r"[\p{Nd}&&[^0-9]]"),
+                          F.translate(text, OTHER_DIGITS, OTHER_DIGIT_VALUES)).otherwise(text)
+    found = F.regexp_extract_all(F.replace(ascii_digits, F.lit(","), F.lit("")),
                                  F.lit(NUMBER_PATTERN), F.lit(0))
     return F.transform(found, lambda n: F.abs(n.cast("double")))
 
@@ -49,10 +63,12 @@ def first_unverified(response: Column, prompt: Column,
 def mislabelled(text: Column, term: str = "ROAS", mark: str = "$",
                 span: int = WORD_SPAN) -> Column:
     """Does a word holding ``mark`` stand within ``span`` words of one holding ``term``?"""
-    word, gap = f"[^{SPACE}]", f"[{SPACE}]+"
-    between = f"{word}*(?:(?:{gap}{word}+){{0,{span - 1}}}{gap}{word}*)?"
-    t, m = re.escape(term.upper()), re.escape(mark.upper())
-    return F.upper(text).rlike(f"{t}{between}{m}|{m}{between}{t}")
+    t, m = term.upper(), mark.upper()
+    plain = F.translate(F.upper(text), OTHER_SPACES, " " * len(OTHER_SPACES))
+    between = rf"\S*(?:(?:\s+\S+){{0,{span - 1}}}\s+\S*)?"
+    near = f"{re.escape(t)}{between}{re.escape(m)}|{re.escape(m)}{between}{re.escape(t)}"
+    both = F.contains(F.upper(text), F.lit(t)) & F.contains(F.upper(text), F.lit(m))
+    return both & plain.rlike(near)
 
 
 def validation_status(unverified: Column, mislabel: Column) -> Column:

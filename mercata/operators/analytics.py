@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key, percent, safe_ratio
 from mercata.operators.attribution import orders_by_channel
+from mercata.operators.keys import first_per_key
 
 # Funnel stages in order, and the VIP thresholds.
 STAGES = ("view_item", "add_to_cart", "begin_checkout", "purchase")
@@ -54,14 +55,9 @@ def spend_by_channel(ad_spend: DataFrame) -> DataFrame:
 
 
 def first_session(sessions: DataFrame) -> DataFrame:
-    """First session of each customer by (date, id), as columns of that session."""
-    payload = [c for c in sessions.columns if c != "customer_id"]
-    rest = [c for c in payload if c not in ("session_date", "session_id")]
-    first = F.min(F.struct(F.col("session_date").isNull().alias("_undated"), "session_date",
-                           "session_id", *rest))
-    return (sessions.where("customer_id IS NOT NULL").groupBy("customer_id")
-            .agg(first.alias("_first"))
-            .select("customer_id", *[F.col(f"_first.{c}").alias(c) for c in payload]))
+    """First session row of each customer by (date, id)."""
+    return first_per_key(sessions.where("customer_id IS NOT NULL"), ["customer_id"],
+                         [F.asc_nulls_last("session_date"), "session_id"])
 
 
 def new_paying_customers(sessions: DataFrame, orders: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key, channel_type
-from mercata.operators.ids import dense_ids
+from mercata.operators.keys import dense_ids
 
 # Spend multiplier per weekday, Monday first.
 WEEKDAY_MULTIPLIERS = (1.2, 1.2, 1.1, 1.1, 1.0, 0.7, 0.7)

@@ -11,11 +11,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import (invalid_to_default, is_incomplete_purchase, micros_to_ts,
                                        negative_to_null, parse_date)
+from mercata.operators.keys import first_per_key
 
 # Keys that make a row a duplicate, columns filled, fill texts.
 EVENT_KEY = ("user_pseudo_id", "event_name", "event_timestamp")
@@ -37,13 +38,8 @@ class Cleaned(NamedTuple):
 
 def dedup_first(df: DataFrame, keys: Sequence[str],
                 order_by: Sequence[str | Column]) -> DataFrame:
-    """First row of each key by ``order_by``; NULL keys equal each other.
-
-    ``row_number() = 1`` is pruned before the shuffle (window group limit), so each
-    input split sends at most one row of a key, however many copies there are.
-    """
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn("_copy", F.row_number().over(w)).where("_copy = 1").drop("_copy")
+    """One row per key, the first by ``order_by`` (the order of the file)."""
+    return first_per_key(df, keys, order_by)
 
 
 def drop_null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,13 +1,26 @@
-"""Dense ids without a single-task sort."""
+"""First row per key, and dense ids, without a task that holds a whole group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET_DIGITS = 3  # 16 ** 3 = 4096 buckets
 
 
+def first_per_key(df: DataFrame, keys: Sequence[str | Column],
+                  order_by: Sequence[str | Column]) -> DataFrame:
+    """First row of each key by ``order_by``; NULL keys equal each other.
+
+    ``row_number() = 1`` is planned as a group limit before the shuffle as well as
+    after it: each input split sends at most one row of a key, however many it has.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
+
+
 def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
     """Number the rows 1..n by (hash bucket of ``key``, ``key``); ``key`` is unique text.
 

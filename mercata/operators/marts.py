@@ -1,8 +1,8 @@
 """Staging tables to star-schema marts.
 
-"First" and "latest" rows are the min / max of one struct that starts with the order,
-which combines on the map side: a session, product or transaction with much of the data
-is reduced to one row per input split before anything is shuffled.
+"First" and "latest" rows are ranked with a group limit that is applied before the
+shuffle too: a session, product or transaction with much of the data is reduced to one
+row per input split before anything moves.
 """
 
 from __future__ import annotations
@@ -12,16 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercata.operators.keys import first_per_key
+
 
 def _first(df: DataFrame, key: str, payload: dict[str, Column], ts: str,
            tiebreak: Sequence[str]) -> DataFrame:
     """Payload of the earliest row per key; rows without time come last, and equal
     times are settled by ``tiebreak`` and then by the payload itself."""
-    order = F.struct(F.col(ts).isNull().alias("_late"), F.col(ts).alias("_at"),
-                     F.struct(F.lit(0).alias("_"), *tiebreak).alias("_tie"),
-                     F.struct(*[c.alias(n) for n, c in payload.items()]).alias("row"))
-    return (df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
-            .select(F.col("_key"), "_first.row.*"))
+    order = [F.col(ts).asc_nulls_last(), *tiebreak, *payload.values()]
+    return (first_per_key(df, [key], order)
+            .select(key, *[c.alias(n) for n, c in payload.items()]))
 
 
 def mart_channels(staged: DataFrame) -> DataFrame:
@@ -43,12 +43,11 @@ def mart_products(items: DataFrame) -> DataFrame:
 
     A row without time never wins over one that has it; equal times go to the
     highest price, then the last name."""
-    latest = F.max(F.struct("event_datetime", "price", "item_name", "item_category"))
-    return (items.groupBy("item_id").agg(latest.alias("_row"))
-            .select(F.col("item_id").alias("product_id"),
-                    F.col("_row.item_name").alias("product_name"),
-                    F.col("_row.item_category").alias("category"),
-                    F.col("_row.price").alias("base_price")))
+    latest = [F.desc_nulls_last(c) for c in ("event_datetime", "price", "item_name",
+                                             "item_category")]
+    return first_per_key(items, ["item_id"], latest).select(
+        F.col("item_id").alias("product_id"), F.col("item_name").alias("product_name"),
+        F.col("item_category").alias("category"), F.col("price").alias("base_price"))
 
 
 def mart_customers(events: DataFrame) -> DataFrame:
@@ -65,7 +64,7 @@ def mart_sessions(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
         {"customer_id": F.col("user_pseudo_id"), "session_date": F.col("event_date"),
          **{c: F.col(c) for c in ("traffic_source", "traffic_medium", "campaign_name",
                                   "device_category")}},
-        "event_datetime", tiebreak).withColumnRenamed("_key", "session_id")
+        "event_datetime", tiebreak)
 
 
 def mart_events(events: DataFrame) -> DataFrame:
@@ -83,7 +82,7 @@ def mart_orders(events: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
         {"customer_id": F.col("user_pseudo_id"), "session_id": F.col("session_id"),
          "order_date": F.col("event_date"), "order_status": F.lit("completed"),
          "order_total": F.col("items_value")},
-        "event_datetime", tiebreak).withColumnRenamed("_key", "order_id")
+        "event_datetime", tiebreak).withColumnRenamed("transaction_id", "order_id")
 
 
 def mart_order_items(items: DataFrame) -> DataFrame:

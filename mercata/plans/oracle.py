@@ -416,7 +416,7 @@ DIRTY_MARTS = {"customers": "q_customers", "orders": "q_orders", "order_items":
 
 NUMBERS = ("list_transform(regexp_extract_all(replace({}, ',', ''), '" + g.NUMBER_PATTERN
            + "'), lambda x: abs(CAST(x AS DOUBLE)))")
-SPACES = "[" + g.SPACE + "]+"
+SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 def _first_bad(r: str, p: str) -> str:
