@@ -35,7 +35,8 @@ def extract_numbers(text: Column) -> Column:
     """All numbers of a text as absolute doubles, thousands commas removed.
 
     Digits of any script count; texts that hold such digits are rewritten first."""
-    ascii_digits = F.when(text.rlike(r"[\p{Nd}&&[^0-9]]"),
+    beyond_ascii = F.octet_length(text) != F.length(text)
+    ascii_digits = F.when(beyond_ascii & text.rlike(r"[\p{Nd}&&[^0-9]]"),
                           F.translate(text, OTHER_DIGITS, OTHER_DIGIT_VALUES)).otherwise(text)
     found = F.regexp_extract_all(F.replace(ascii_digits, F.lit(","), F.lit("")),
                                  F.lit(NUMBER_PATTERN), F.lit(0))
@@ -48,15 +49,16 @@ def first_unverified(response: Column, prompt: Column,
     """First number of ``response`` no number of ``prompt`` comes close to."""
     def close(n: Column, p: Column) -> Column:
         gap = F.abs(n - p)
-        return (gap <= abs_tol) | ((p != 0) & (gap / F.nullif(p, F.lit(0.0)) <= rel_tol))
+        return (gap <= abs_tol) | F.when(p != 0, gap / p <= rel_tol).otherwise(False)
 
-    # Both number lists are bound as one struct, so each text is scanned once and
-    # not again for every number it is compared with.
+    # Both number lists are bound as one struct, so each text is scanned once and not
+    # again for every number it is compared with. Numbers the prompt holds exactly are
+    # set aside first; what is left keeps its order.
     both = F.array(F.struct(extract_numbers(response).alias("r"),
                             F.array_distinct(extract_numbers(prompt)).alias("p")))
     first_bad = F.transform(both, lambda b: F.get(
-        F.filter(b["r"], lambda n: ~F.exists(b["p"], lambda p: F.coalesce(close(n, p), F.lit(False)))),
-        F.lit(0)))
+        F.filter(F.array_except(b["r"], b["p"]),
+                 lambda n: ~F.exists(b["p"], lambda p: close(n, p))), F.lit(0)))
     return F.get(first_bad, F.lit(0))
 
 

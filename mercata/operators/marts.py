@@ -17,9 +17,9 @@ from mercata.operators.keys import first_per_key
 
 def _first(df: DataFrame, key: str, payload: dict[str, Column], ts: str,
            tiebreak: Sequence[str]) -> DataFrame:
-    """Payload of the earliest row per key; rows without time come last, and equal
-    times are settled by ``tiebreak`` and then by the payload itself."""
-    order = [F.col(ts).asc_nulls_last(), *tiebreak, *payload.values()]
+    """Payload of the earliest row per key; rows without time come last. Equal times are
+    settled by ``tiebreak`` (columns that tell rows apart) or, without one, by the payload."""
+    order = [F.col(ts).asc_nulls_last(), *(tiebreak or payload.values())]
     return (first_per_key(df, [key], order)
             .select(key, *[c.alias(n) for n, c in payload.items()]))
 
