@@ -240,8 +240,9 @@ def campaigns(spark: SparkSession, sf: str) -> DataFrame:
 def daily_spend(spark: SparkSession, sf: str) -> DataFrame:
     """Paid channel: per day half the value of its cart events."""
     return (base_events(spark, sf).where("k % 6 = 1 AND event_name = 'add_to_cart'")
-            .groupBy("event_date").agg(F.sum("value").alias("v"))
-            .select(F.lit(2).alias("channel_id"), F.col("event_date").alias("spend_date"),
+            .groupBy((F.col("k") % 6 + 1).alias("channel_id"), "event_date")
+            .agg(F.sum("value").alias("v"))
+            .select("channel_id", F.col("event_date").alias("spend_date"),
                     F.round(F.col("v").cast("decimal(20,2)") / 2, 2).cast("decimal(18,2)")
                     .alias("amount")))
 
