@@ -45,39 +45,59 @@ def value_rules(date_from: str = "2020-11-01", date_to: str = "2020-11-30"):
     )
 
 
-def _result(name: Column, table: str, count: Column, what: str) -> list[Column]:
-    return [name.alias("check_name"), F.lit(table).alias("table_name"),
-            F.when(count > 0, "FAIL").otherwise("PASS").alias("status"),
-            F.concat(count.cast("string"), F.lit(f" {what} found")).alias("details")]
+class _Count(NamedTuple):
+    """One check of one table: its name, the aggregate that counts, what is counted."""
+    name: str
+    count: Column
+    what: str
 
 
-def _one_pass(df: DataFrame, table: str, what: str, counts: Mapping[str, Column]) -> DataFrame:
-    """Several counts over one table in one scan, one result row each."""
-    pairs = [F.struct(F.lit(name).alias("name"), c.cast("bigint").alias("n"))
-             for name, c in counts.items()]
-    return (df.agg(F.array(*pairs).alias("checks")).select(F.explode("checks").alias("c"))
-            .select(*_result(F.col("c.name"), table, F.col("c.n"), what)))
+def _one_pass(df: DataFrame, table: str, checks: Sequence[_Count]) -> DataFrame:
+    """All checks of one table in one scan, one result row each."""
+    found = F.array(*[F.struct(F.lit(c.name).alias("check_name"), c.count.cast("bigint").alias("n"),
+                               F.lit(c.what).alias("what")) for c in checks])
+    return (df.agg(found.alias("checks")).select(F.inline("checks"))
+            .select("check_name", F.lit(table).alias("table_name"),
+                    F.when(F.col("n") > 0, "FAIL").otherwise("PASS").alias("status"),
+                    F.concat_ws(" ", F.col("n").cast("string"), "what", F.lit("found"))
+                    .alias("details")))
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def row_checks(tables: Mapping[str, DataFrame], null_rules: Mapping[str, Sequence[str]],
+               rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """NULL and value rules together: each table is read once for all of its rules."""
+    by_table: dict[str, list[_Count]] = {}
+    for table, columns in null_rules.items():
+        by_table.setdefault(table, []).extend(
+            _Count(f"Null Check: {c}", F.count_if(F.col(c).isNull()), "null values")
+            for c in columns)
+    for table, what, predicate in rules:
+        by_table.setdefault(table, []).append(
+            _Count(f"Invalid Value Check: {what}", F.count_if(F.expr(predicate)), "invalid values"))
+    return _union([_one_pass(tables[t], t, checks) for t, checks in by_table.items()])
+
+
 def null_checks(tables: Mapping[str, DataFrame],
                 rules: Mapping[str, Sequence[str]] = NULL_RULES) -> DataFrame:
     """Rows with a NULL in each required column."""
-    return _union([
-        _one_pass(tables[t], t, "null values",
-                  {f"Null Check: {c}": F.count_if(F.col(c).isNull()) for c in columns})
-        for t, columns in rules.items()])
+    return row_checks(tables, rules, ())
+
+
+def invalid_value_checks(tables: Mapping[str, DataFrame], rules=None) -> DataFrame:
+    """Rows outside the allowed values; a NULL is not counted."""
+    return row_checks(tables, {}, rules or value_rules())
 
 
 def duplicate_key_checks(tables: Mapping[str, DataFrame],
                          rules: Mapping[str, str] = KEY_RULES) -> DataFrame:
     """Number of key values (not of extra rows) that occur more than once."""
     return _union([
-        _one_pass(tables[t].groupBy(key).count(), t, "duplicate keys",
-                  {f"Duplicate PK Check: {key}": F.count_if(F.col("count") > 1)})
+        _one_pass(tables[t].groupBy(key).count(), t, [
+            _Count(f"Duplicate PK Check: {key}", F.count_if(F.col("count") > 1), "duplicate keys")])
         for t, key in rules.items()])
 
 
@@ -90,22 +110,12 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFr
 def orphan_checks(tables: Mapping[str, DataFrame], rules=PARENT_RULES) -> DataFrame:
     """Rows whose non-NULL reference has no parent row."""
     return _union([
-        _one_pass(orphan_keys(tables[child], fk, tables[parent], pk), child, "orphaned rows",
-                  {f"Orphan FK Check: {fk} -> {parent}.{pk}":
-                   F.coalesce(F.sum("n"), F.lit(0))})
+        _one_pass(orphan_keys(tables[child], fk, tables[parent], pk), child, [
+            _Count(f"Orphan FK Check: {fk} -> {parent}.{pk}", F.coalesce(F.sum("n"), F.lit(0)),
+                   "orphaned rows")])
         for child, fk, parent, pk in rules])
 
 
-def invalid_value_checks(tables: Mapping[str, DataFrame], rules=None) -> DataFrame:
-    """Rows outside the allowed values; a NULL is not counted."""
-    by_table: dict[str, dict[str, Column]] = {}
-    for table, what, predicate in rules or value_rules():
-        by_table.setdefault(table, {})[f"Invalid Value Check: {what}"] = \
-            F.count_if(F.expr(predicate))
-    return _union([_one_pass(tables[t], t, "invalid values", counts)
-                   for t, counts in by_table.items()])
-
-
 class QualityReport(NamedTuple):
     log: DataFrame
     summary: DataFrame

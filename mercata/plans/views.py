@@ -65,8 +65,8 @@ def register_views(views: dict[str, DataFrame]) -> None:
 def quality_checks(m: dict[str, DataFrame], date_from: str, date_to: str) -> quality.QualityReport:
     """The 23 checks over the marts."""
     return quality.dq_report(
-        quality.null_checks(m), quality.duplicate_key_checks(m), quality.orphan_checks(m),
-        quality.invalid_value_checks(m, quality.value_rules(date_from, date_to)))
+        quality.row_checks(m, quality.NULL_RULES, quality.value_rules(date_from, date_to)),
+        quality.duplicate_key_checks(m), quality.orphan_checks(m))
 
 
 def presentable(df: DataFrame) -> DataFrame:
