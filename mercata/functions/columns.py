@@ -24,13 +24,11 @@ def event_param(params: Column, key: str, variant: str = "int_value") -> Column:
 
 def items_value(items: Column) -> Column:
     """Sum of price * quantity; unpriced items are skipped, none left gives NULL."""
-    terms = F.filter(F.transform(items, lambda i: i["price"] * i["quantity"]),
-                     lambda t: t.isNotNull())
-    # Starting from the first term keeps the element type (decimal or double).
-    widen = lambda c: c.cast("decimal(28,2)")
-    return F.when(F.size(terms) > 0,
-                  F.aggregate(terms, F.lit(0).cast("decimal(28,2)"),
-                              lambda acc, t: widen(acc + widen(t))))
+    def add(acc: Column, item: Column) -> Column:
+        term = (item["price"] * item["quantity"]).cast("decimal(28,2)")
+        return F.coalesce((acc + term).cast("decimal(28,2)"), term, acc)
+
+    return F.aggregate(items, F.lit(None).cast("decimal(28,2)"), add)
 
 
 def session_key(user: Column, ga_session_id: Column) -> Column:

@@ -111,3 +111,18 @@ def assign_campaign(daily: DataFrame, campaigns: DataFrame) -> DataFrame:
             .join(active, ["channel_id", "spend_date"], "left")
             .select("channel_id", F.coalesce("_active", "_first").alias("campaign_id"),
                     "spend_date", "amount"))
+
+
+def planned_ad_spend(events: DataFrame, campaigns: DataFrame, start: str, end: str,
+                     target_cac) -> DataFrame:
+    """Daily spend of every paid channel: the spend that buys its paying customers at
+    ``target_cac``, spread over the days by weekday and booked on the campaign active
+    that day. Channels without a paying customer are not spent on."""
+    dimension = channel_dimension(events)
+    totals = calibrated_spend(dimension, paying_customers_by_channel(events), target_cac)
+    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    curve = (totals.where("total_spend > 0")
+             .select("channel_id", "total_spend", days.alias("spend_date"))
+             .withColumn("weight", F.greatest(weekday_weight(F.col("spend_date")), F.lit(0.0))))
+    daily = allocate(curve, "weight", "total_spend", "channel_id")
+    return assign_campaign(daily.select("channel_id", "spend_date", "amount"), campaigns)

@@ -289,6 +289,17 @@ def assign_active_campaign(spark, sf):
     return channels.assign_campaign(t.daily_spend(spark, sf), t.campaigns(spark, sf))
 
 
+@query
+def planned_ad_spend(spark, sf):
+    """Spend of January for the paid channel found in the events."""
+    events = t.staged_events(spark, sf)
+    paid = _dimension(spark, sf).where("channel_type = 'paid'").select("channel_id", "channel_name")
+    camps = (t.campaigns(spark, sf).drop("channel_id")
+             .withColumn("channel_name", F.regexp_extract("campaign_name", "^(.*) - ", 1))
+             .join(paid, "channel_name"))
+    return channels.planned_ad_spend(events, camps, "2024-01-01", "2024-01-31", t.TARGET_CAC)
+
+
 # --- marts ---------------------------------------------------------------
 
 @query

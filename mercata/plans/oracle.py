@@ -630,6 +630,23 @@ def build() -> dict[str, str]:
         FROM (SELECT CAST(unnest(generate_series((SELECT MIN(event_date) FROM ev),
                      (SELECT MAX(event_date) FROM ev), INTERVAL 1 DAY)) AS DATE) AS d)
         LEFT JOIN (SELECT event_date, COUNT(*) AS n FROM ev GROUP BY 1) ON d = event_date""", "ev")
+    add("planned_ad_spend", f"""
+        SELECT channel_id, COALESCE(
+                   (SELECT MIN(campaign_id) FROM camp WHERE d BETWEEN start_date AND end_date),
+                   (SELECT MIN(campaign_id) FROM camp)) AS campaign_id,
+               CAST(d AS VARCHAR) AS spend_date,
+               CAST(ROUND(CAST(w / SUM(w) OVER () * {t.TARGET_CAC} * n AS DECIMAL(28,10)), 2)
+                    AS DOUBLE) AS amount
+        FROM (SELECT d, [1.2, 1.2, 1.1, 1.1, 1.0, 0.7, 0.7][isodow(d)]::DOUBLE AS w
+              FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31',
+                                                       INTERVAL 1 DAY)) AS DATE) AS d))
+        JOIN (SELECT channel_name, n, CAST(ROW_NUMBER() OVER (
+                         ORDER BY substr(md5(channel_name), 1, 3), channel_name) AS INTEGER)
+                         AS channel_id
+              FROM (SELECT lower(traffic_source || ' / ' || traffic_medium) AS channel_name,
+                           COUNT(DISTINCT CASE WHEN event_name = 'purchase'
+                                               THEN user_pseudo_id END) AS n FROM stg GROUP BY 1))
+          ON channel_name = 'google / cpc'""", "camp", "stg")
     spend = ("channel_id, campaign_id, CAST(spend_date AS VARCHAR) AS spend_date, "
              "CAST(amount AS DOUBLE) AS amount")
     add("assign_active_campaign", f"SELECT {spend} FROM spend", "spend")

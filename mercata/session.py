@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_local_folders: dict[str, str] = {}  # application id -> temporary folder
+
 
 def build_session(app: str = "mercata", master: str | None = None,
                   **conf: str) -> SparkSession:
@@ -41,8 +43,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="mercata-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="mercata-")
+        base = _local_folders[context.applicationId]
     return f"{base.rstrip('/')}/mercata/{label}-{uuid.uuid4().hex}"

@@ -17,13 +17,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the table at ``path``; running twice leaves the same rows."""
-    writer = df.write.mode("overwrite")
+    """Replace the table at ``path``; running twice leaves the same rows.
+
+    With ``partition_by`` rows are rebalanced by that column first, so a partition is
+    a few files of even size and not one per task, and a partition value that holds
+    much of the data is split over several tasks.
+    """
     if partition_by:
-        # Rows of one partition value go to several tasks, at most one per input
-        # split, so a value holding much of the data is still written in parallel.
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite") \
+            .partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def append_log(df: DataFrame, path: str) -> None:
