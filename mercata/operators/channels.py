@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key, channel_type
-from mercata.operators.keys import dense_ids
+from mercata.operators.keys import ROWS_PER_SALT, dense_ids, join_by_key
 
 # Spend multiplier per weekday, Monday first.
 WEEKDAY_MULTIPLIERS = (1.2, 1.2, 1.1, 1.1, 1.0, 0.7, 0.7)
@@ -53,17 +53,18 @@ def calibrated_spend(channels: DataFrame, paying: DataFrame, target_cac) -> Data
                     .cast("decimal(18,2)").alias("total_spend")))
 
 
-def allocate(df: DataFrame, weight: str, total: str | Column, by: str) -> DataFrame:
+def allocate(df: DataFrame, weight: str, total: str | Column, by: str,
+             rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Add ``share`` (weight within its ``by`` group) and ``amount`` (share of total).
 
-    The group sum is a pre-aggregated join, not a window: a group with much of the
-    data is summed in parts and never gathered in one task.
+    The group sum is pre-aggregated and joined, not a window: a group with much of the
+    data is summed in parts, joined in parts, and never gathered in one task.
     """
     total = F.col(total) if isinstance(total, str) else total
     # Weights are summed as decimals, so the share does not depend on row order.
     sums = df.groupBy(by).agg(F.sum(F.col(weight).cast("decimal(28,10)")).alias("_sum"))
     share = F.col(weight).cast("double") / F.nullif(F.col("_sum").cast("double"), F.lit(0.0))
-    return (df.join(sums, by)
+    return (join_by_key(df, sums, by, "inner", rows_per_salt)
             .withColumn("share", share)
             .withColumn("amount", F.round((F.col("share") * total.cast("double"))
                                           .cast("decimal(28,10)"), 2).cast("decimal(18,2)"))

@@ -14,6 +14,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercata.operators.keys import ROWS_PER_SALT, join_by_key
+
 # The columns, keys, relations and value rules that are checked.
 NULL_RULES = {
     "customers": ("customer_id",),
@@ -138,25 +140,26 @@ class ConstraintViolation(ValueError):
 
 
 def mark_violations(df: DataFrame, *, not_null: Sequence[str] = (), pk: str | None = None,
-                    fks: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
+                    fks: Sequence[tuple[str, DataFrame, str]] = (),
+                    rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """The rows with ``reason``: NULL when valid, else the first rule each row breaks.
 
-    Broken keys are found on grouped keys; the rows are joined to that short list of
-    offenders, which adaptive execution broadcasts when it is small and otherwise
-    joins by key, splitting skewed partitions.
+    Broken keys are found on grouped keys, and the rows are joined to these with hot
+    keys split: neither a much repeated key nor a much used reference makes a large
+    task.
     """
+    marked = df
     reasons = [F.when(F.col(c).isNull(), f"null {c}") for c in not_null]
     if pk:
         repeated = (df.groupBy(pk).count().where("count > 1")
-                    .select(F.col(pk), F.lit(True).alias("_dup")))
-        df = df.join(repeated, pk, "left")
-        reasons.append(F.when(F.col("_dup"), f"duplicate {pk}"))
+                    .select(F.col(pk), F.lit(True).alias("_repeated")))
+        marked = join_by_key(marked, repeated, pk, "left", rows_per_salt)
+        reasons.append(F.when(F.col("_repeated"), f"duplicate {pk}"))
     for i, (fk, parent, parent_pk) in enumerate(fks):
         lost = orphan_keys(df, fk, parent, parent_pk).select(fk, F.lit(True).alias(f"_lost{i}"))
-        df = df.join(lost, fk, "left")
+        marked = join_by_key(marked, lost, fk, "left", rows_per_salt)
         reasons.append(F.when(F.col(f"_lost{i}"), f"orphan {fk}"))
-    marks = [c for c in df.columns if c == "_dup" or c.startswith("_lost")]
-    return df.withColumn("reason", F.coalesce(*reasons)).drop(*marks)
+    return marked.select(*df.columns, F.coalesce(*reasons).alias("reason"))
 
 
 def enforce(df: DataFrame, *, not_null: Sequence[str] = (), pk: str | None = None,

@@ -18,20 +18,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key
+from mercata.operators.keys import BROADCAST_ROWS, ROWS_PER_SALT, join_dimension, salts
 
 LOOKBACK = 10  # fixed value: touchpoints kept per order
-ROWS_PER_SALT = 1_000_000  # orders of one customer and day handled by one join group
 
 
-def match_channel(df: DataFrame, channels: DataFrame, how: str = "left") -> DataFrame:
+def match_channel(df: DataFrame, channels: DataFrame, how: str = "left",
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``channel_id`` by the case-insensitive name ``source / medium``.
 
-    Rows without a matching channel keep a NULL id. No broadcast is forced: the
-    dimension is broadcast only while its measured size is below Spark's threshold.
+    Rows without a matching channel keep a NULL id. The dimension is broadcast only
+    after its rows have been counted; a larger one is joined with hot channels split.
     """
     names = channels.select(F.lower("channel_name").alias("_key"), "channel_id")
     keyed = df.withColumn("_key", channel_key(F.col("traffic_source"), F.col("traffic_medium")))
-    return keyed.join(names, "_key", how).drop("_key")
+    return join_dimension(keyed, names, "_key", how, broadcast_rows).drop("_key")
 
 
 def last_sessions_per_day(sessions: DataFrame, k: int = LOOKBACK) -> DataFrame:
@@ -95,10 +96,6 @@ def journeys(orders_by_day: DataFrame, sessions: DataFrame, k: int = LOOKBACK) -
             .select("customer_id", F.col("day").alias("order_date"), *measures, "touches"))
 
 
-def _salts(n_orders: Column, rows_per_salt: int) -> Column:
-    return F.ceil(n_orders / F.lit(rows_per_salt)).cast("int")
-
-
 def order_journeys(orders: DataFrame, sessions: DataFrame, k: int = LOOKBACK,
                    rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """One row per order with its ``touches``.
@@ -112,10 +109,10 @@ def order_journeys(orders: DataFrame, sessions: DataFrame, k: int = LOOKBACK,
     key = ["customer_id", "order_date"]
     walks = journeys(per_day, sessions, k).select(
         *key, "touches",
-        F.explode(F.sequence(F.lit(0), _salts(F.col("n_orders"), rows_per_salt) - 1))
+        F.explode(F.sequence(F.lit(0), salts(F.col("n_orders"), rows_per_salt) - 1))
         .alias("_salt"))
     hot = (per_day.where(F.col("n_orders") > rows_per_salt)
-           .select(*key, _salts(F.col("n_orders"), rows_per_salt).alias("_salts")))
+           .select(*key, salts(F.col("n_orders"), rows_per_salt).alias("_salts")))
     salted = (orders.join(F.broadcast(hot), key, "left")
               .withColumn("_salt", F.coalesce(
                   F.pmod(F.xxhash64("order_id"), F.col("_salts")).cast("int"), F.lit(0)))

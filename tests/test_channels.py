@@ -48,6 +48,13 @@ def test_allocation_scales_to_the_total(frame):
         ("a", 0.25, D("25.00")), ("a", 0.75, D("75.00")), ("b", 1.0, D("7.00")), ("c", None, None)]
 
 
+def test_hot_group_is_split_without_changing_the_shares(spark):
+    df = spark.range(0, 500, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+        (F.col("id") + 1.0).alias("w"), F.lit(100.0).alias("t"))
+    assert got(ch.allocate(df, "w", "t", "g", rows_per_salt=20)) == got(ch.allocate(df, "w", "t", "g"))
+
+
 def test_spend_curve(spark):
     out = ch.daily_spend_curve(spark, "2024-01-01", "2024-01-07", spikes={"2024-01-03": 2.0})
     assert [w for _, w in got(out)] == pytest.approx([1.2, 1.2, 2.2, 1.1, 1.0, 0.7, 0.7])

@@ -92,3 +92,13 @@ def test_gate_fails_or_splits(frame):
     assert got(refused, "k", "reason") == [("b", "null v"), ("c", "duplicate k"),
                                            ("c", "duplicate k"), ("d", "orphan fk")]
     assert quality.enforce(valid, **rules) is valid
+
+
+def test_hot_keys_are_split_without_changing_the_result(frame, spark):
+    rows = [("hot" if i % 3 else f"k{i}", "far" if i % 2 else None, i) for i in range(300)]
+    df = frame("k STRING, fk STRING, v INT", rows).repartition(7)
+    parents = frame("id STRING", [("near",)])
+    reasons = [got(quality.mark_violations(df, not_null=["v"], pk="k", fks=[("fk", parents, "id")],
+                                           rows_per_salt=n)) for n in (5, 1000)]
+    assert reasons[0] == reasons[1] and len(reasons[0]) == 300
+    assert {r[3] for r in reasons[0]} == {"duplicate k", "orphan fk", None}

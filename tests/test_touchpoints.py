@@ -69,6 +69,14 @@ def test_salted_join_gives_the_same_rows(data):
     assert got(flat) == naive(sessions, orders)
 
 
+def test_large_dimension_is_joined_in_parts(data):
+    _, _, s, _, ch = data
+    small = tp.match_channel(s, ch)
+    large = tp.match_channel(s, ch, broadcast_rows=1)
+    assert got(large, "session_id", "channel_id") == got(small, "session_id", "channel_id")
+    assert large.count() == 120
+
+
 def test_candidate_counts(data):
     sessions, orders, s, o, _ = data
     want = {}
