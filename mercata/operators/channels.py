@@ -62,9 +62,11 @@ def allocate(df: DataFrame, weight: str, total: str | Column, by: str,
     """
     total = F.col(total) if isinstance(total, str) else total
     # Weights are summed as decimals, so the share does not depend on row order.
-    sums = df.groupBy(by).agg(F.sum(F.col(weight).cast("decimal(28,10)")).alias("_sum"))
+    sums = df.groupBy(by).agg(F.sum(F.col(weight).cast("decimal(28,10)")).alias("_sum"),
+                              F.count("*").alias("count"))
     share = F.col(weight).cast("double") / F.nullif(F.col("_sum").cast("double"), F.lit(0.0))
-    return (join_by_key(df, sums, by, "inner", rows_per_salt)
+    return (join_by_key(df, sums.drop("count"), by, "inner", rows_per_salt,
+                        sums.select(by, "count"))
             .withColumn("share", share)
             .withColumn("amount", F.round((F.col("share") * total.cast("double"))
                                           .cast("decimal(28,10)"), 2).cast("decimal(18,2)"))

@@ -30,17 +30,20 @@ def salts(rows: Column, rows_per_salt: int) -> Column:
 
 
 def join_by_key(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                rows_per_salt: int = ROWS_PER_SALT,
+                sizes: DataFrame | None = None) -> DataFrame:
     """Join rows with a frame that has each key once, splitting hot keys.
 
     A key with more than ``rows_per_salt`` rows is cut into salts by input split (which
     also separates identical rows, and stays the same when a task is run again); its
     lookup row is copied once per salt. The list of hot keys has at most
     |rows| / rows_per_salt entries and is broadcast. Rows with a NULL key match nothing
-    and are spread as well.
+    and are spread as well. ``sizes`` (key, count) is given by callers that have it, or
+    whose ``rows`` are costly to compute a second time.
     """
-    hot = (rows.where(F.col(key).isNotNull()).groupBy(key).count()
-           .where(F.col("count") > rows_per_salt)
+    if sizes is None:
+        sizes = rows.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot = (sizes.where(F.col("count") > rows_per_salt)
            .select(key, salts(F.col("count"), rows_per_salt).alias("_salts")))
     split = F.spark_partition_id()
     salt = (F.when(F.col(key).isNull(), split)

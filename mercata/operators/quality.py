@@ -103,9 +103,13 @@ def duplicate_key_checks(tables: Mapping[str, DataFrame],
         for t, key in rules.items()])
 
 
+def _key_sizes(child: DataFrame, fk: str) -> DataFrame:
+    return child.where(F.col(fk).isNotNull()).groupBy(fk).count()
+
+
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Distinct child keys without a parent: ``fk``, and ``n``, the rows that hold it."""
-    keys = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("n"))
+    keys = _key_sizes(child, fk).withColumnRenamed("count", "n")
     return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
 
 
@@ -151,13 +155,13 @@ def mark_violations(df: DataFrame, *, not_null: Sequence[str] = (), pk: str | No
     marked = df
     reasons = [F.when(F.col(c).isNull(), f"null {c}") for c in not_null]
     if pk:
-        repeated = (df.groupBy(pk).count().where("count > 1")
-                    .select(F.col(pk), F.lit(True).alias("_repeated")))
-        marked = join_by_key(marked, repeated, pk, "left", rows_per_salt)
+        sizes = df.groupBy(pk).count()
+        repeated = sizes.where("count > 1").select(pk, F.lit(True).alias("_repeated"))
+        marked = join_by_key(marked, repeated, pk, "left", rows_per_salt, sizes)
         reasons.append(F.when(F.col("_repeated"), f"duplicate {pk}"))
     for i, (fk, parent, parent_pk) in enumerate(fks):
         lost = orphan_keys(df, fk, parent, parent_pk).select(fk, F.lit(True).alias(f"_lost{i}"))
-        marked = join_by_key(marked, lost, fk, "left", rows_per_salt)
+        marked = join_by_key(marked, lost, fk, "left", rows_per_salt, _key_sizes(df, fk))
         reasons.append(F.when(F.col(f"_lost{i}"), f"orphan {fk}"))
     return marked.select(*df.columns, F.coalesce(*reasons).alias("reason"))
 

@@ -353,15 +353,15 @@ def mart_order_items(spark, sf):
 
 @query
 def enforce_constraints(spark, sf):
-    """Orders from dirty events, the refused ones with the reason."""
+    """Orders from dirty events: valid, or the reason why they are refused."""
     cleaned = clean.clean_events(t.raw_events(spark, sf), ["line_no"]).rows
     sessions = marts.mart_sessions(cleaned, ["line_no"]).where(F.col("traffic_source") != "unknown")
-    valid, refused = quality.enforce(
+    marked = quality.mark_violations(
         marts.mart_orders(cleaned, ["line_no"]),
         not_null=["order_id", "customer_id", "order_date", "order_total"], pk="order_id",
-        fks=[("session_id", sessions, "session_id")], on_violation="quarantine")
-    return valid.withColumn("reason", F.lit("valid")).unionByName(refused) \
-        .select("order_id", "reason", "order_total")
+        fks=[("session_id", sessions, "session_id")])
+    return marked.select("order_id", F.coalesce("reason", F.lit("valid")).alias("reason"),
+                         "order_total")
 
 
 # --- views ---------------------------------------------------------------
