@@ -101,10 +101,10 @@ def assign_campaign(daily: DataFrame, campaigns: DataFrame) -> DataFrame:
     """
     span = daily.agg(F.struct(F.min("spend_date").alias("lo"),
                               F.max("spend_date").alias("hi")).alias("s")).scalar()
-    clipped = (campaigns
+    clipped = (campaigns.select("*", span.alias("s"))
                .select("channel_id", "campaign_id",
-                       F.greatest("start_date", span["lo"]).alias("lo"),
-                       F.least("end_date", span["hi"]).alias("hi"))
+                       F.greatest("start_date", "s.lo").alias("lo"),
+                       F.least("end_date", "s.hi").alias("hi"))
                .where("lo <= hi"))
     active = (clipped.select("channel_id", "campaign_id",
                              F.explode(F.sequence("lo", "hi")).alias("spend_date"))

@@ -17,65 +17,54 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float] = QUARTIL
     """Interpolated quantiles: one row per ``p`` with ``value``.
 
     The built-in exact percentile gathers all distinct values in one task. Here a
-    mergeable sketch brackets each quantile to a few 1 / accuracy of the rows, and only
-    the distinct values inside the brackets are ranked. Rows outside are counted. If
-    a bracket misses its rank the query fails rather than return another value.
+    mergeable sketch brackets each quantile to a few 1 / accuracy of the rows. Values
+    inside a bracket are counted one by one, the stretches between brackets as one cell
+    each with its ends, and only these cells are ranked. If a rank falls inside a
+    stretch the query fails rather than return another value.
     """
     v = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
-    margin = 2.0 / accuracy
-    bounds = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
+    probs, margin = sorted(probs), 2.0 / accuracy
+    bounds = [b for p in probs for b in (max(p - margin, 0.0), min(p + margin, 1.0))]
     sketch = v.agg(F.struct(
         F.count("*").alias("n"),
         F.percentile_approx("v", F.array(*map(F.lit, bounds)), accuracy).alias("b"))
         .alias("s")).scalar()
-    k = len(probs)
-
-    def lo(i: int) -> Column:
-        return F.get(sketch["b"], F.lit(i))
-
-    def hi(i: int) -> Column:
-        return F.get(sketch["b"], F.lit(k + i))
-
-    # One pass: per quantile the rows below its bracket and the nearest value outside.
-    around = v.agg(F.array(*[
-        F.struct(F.lit(i).alias("q"), F.count_if(F.col("v") < lo(i)).alias("below"),
-                 F.max(F.when(F.col("v") < lo(i), F.col("v"))).alias("left"),
-                 F.min(F.when(F.col("v") > hi(i), F.col("v"))).alias("right"))
-        for i in range(k)]).alias("a")).select(F.inline("a"))
-    hits = F.array(*[F.when(F.col("v").between(lo(i), hi(i)), F.lit(i)) for i in range(k)])
-    inside = (v.select("v", F.explode(hits).alias("q")).where("q IS NOT NULL").groupBy("q", "v")
-              .agg(F.count("*").alias("c")))
-    up_to = (Window.partitionBy("q").orderBy("v")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = inside.withColumn("seen", F.sum("c").over(up_to))
-
-    # Zero-based position of the quantile, between the rows of 1-based rank floor + 1
-    # and ceil + 1.
-    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("q"))
-    pos = (sketch["n"] - 1) * prob
-    joined = around.join(ranked, "q")
-
-    def at(rank: Column) -> tuple[Column, Column]:
-        inner = rank - F.col("below")
-        return (F.min(F.when((inner >= 1) & (F.col("seen") >= inner), F.col("v"))),
-                F.max(inner))
-
-    floor_v, floor_i = at(F.floor(pos) + 1)
-    ceil_v, ceil_i = at(F.ceil(pos) + 1)
-    per_q = joined.groupBy("q", "left", "right").agg(
-        floor_v.alias("fv"), floor_i.alias("fi"), ceil_v.alias("cv"), ceil_i.alias("ci"),
-        F.max("seen").alias("size"))
-
-    def value(v_: str, i: str) -> Column:
-        return (F.when(F.col(v_).isNotNull(), F.col(v_))
-                .when(F.col(i) == 0, F.col("left"))
-                .when(F.col(i) == F.col("size") + 1, F.col("right"))
-                .otherwise(F.raise_error(F.lit("quantile outside its sketch bracket"))
-                           .cast("double")))
-
-    low, high = value("fv", "fi"), value("cv", "ci")
-    return per_q.select(prob.alias("p"),
-                        (low + (high - low) * (pos - F.floor(pos))).alias("value"))
+    # The subquery is named once: every further mention would be planned anew.
+    v = v.select("v", sketch.alias("s"))
+    inside, stretch = F.lit(False), F.lit(0)
+    for i in range(len(probs)):
+        lo, hi = F.get("s.b", F.lit(2 * i)), F.get("s.b", F.lit(2 * i + 1))
+        inside = inside | F.col("v").between(lo, hi)
+        stretch = stretch + (F.col("v") > hi).cast("int")
+    cells = (v.select("v", F.col("s.n").alias("n"), inside.alias("exact"), stretch.alias("stretch"))
+             .groupBy("exact", F.when(F.col("exact"), F.col("v")).alias("value"),
+                      F.when(~F.col("exact"), F.col("stretch")).alias("stretch"))
+             .agg(F.count("*").alias("rows"), F.min("v").alias("first"), F.max("v").alias("last"),
+                  F.max("n").alias("n")))
+    up_to = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cells.withColumn("seen", F.sum("rows").over(up_to))
+
+    # The quantile lies between the rows of 1-based rank floor + 1 and ceil + 1.
+    def cell(p: float, step) -> Column:
+        rank = step((F.col("n") - 1) * F.lit(float(p))) + 1
+        return F.min(F.when(F.col("seen") >= rank,
+                            F.struct("seen", "rows", "exact", "first", "last",
+                                     rank.alias("rank"))))
+
+    def value(c: Column) -> Column:
+        return (F.when(c["exact"] | (c["rank"] == c["seen"] - c["rows"] + 1), c["first"])
+                .when(c["rank"] == c["seen"], c["last"])
+                .when(c.isNotNull(), F.raise_error(F.lit("quantile outside its sketch bracket"))
+                      .cast("double")))
+
+    found = ranked.agg(F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), cell(p, F.floor).alias("low"),
+                 cell(p, F.ceil).alias("high"),
+                 ((F.max("n") - 1) * F.lit(float(p))).alias("pos"))
+        for p in probs]).alias("q")).select(F.inline("q"))
+    low, high = value(F.col("low")), value(F.col("high"))
+    return (found.where("low IS NOT NULL")
+            .select("p", (low + (high - low) * (F.col("pos") - F.floor("pos"))).alias("value")))
 
 
 def describe_values(df: DataFrame, column: str) -> DataFrame:
@@ -87,9 +76,8 @@ def describe_values(df: DataFrame, column: str) -> DataFrame:
     quartiles = q.select(F.struct("*").alias("s")).scalar()
     basic = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
                    F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-    return basic.select("count", "mean", "std", "min",
-                        *[quartiles[f"p{int(p * 100)}"].alias(f"p{int(p * 100)}")
-                          for p in QUARTILES], "max")
+    return basic.select("*", quartiles.alias("q")).select(
+        "count", "mean", "std", "min", *[f"q.p{int(p * 100)}" for p in QUARTILES], "max")
 
 
 def adjusted_skewness(df: DataFrame, column: str) -> DataFrame:
@@ -110,12 +98,12 @@ def histogram(df: DataFrame, column: str, bins: int = HISTOGRAM_BINS) -> DataFra
         F.when(one_value, F.min("v") - 0.5).otherwise(F.min("v")).alias("lo"),
         F.when(one_value, F.max("v") + 0.5).otherwise(F.max("v")).alias("hi"))
         .alias("s")).scalar()
-    bin_of = F.least(F.width_bucket("v", ends["lo"], ends["hi"], F.lit(bins)), F.lit(bins))
-    counts = v.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
-    width = (ends["hi"] - ends["lo"]) / bins
-    grid = df.sparkSession.range(1, bins + 1).withColumnRenamed("id", "bin")
-    return (grid.join(counts, "bin", "left")
-            .select("bin", (ends["lo"] + width * (F.col("bin") - 1)).alias("lo"),
-                    (ends["lo"] + width * F.col("bin")).alias("hi"),
-                    F.coalesce("n", F.lit(0)).alias("n"))
-            .where("lo IS NOT NULL"))
+    lo, hi = F.col("e.lo"), F.col("e.hi")
+    bin_of = F.least(F.width_bucket("v", lo, hi, F.lit(bins)), F.lit(bins))
+    counts = (v.select("v", ends.alias("e")).groupBy(bin_of.alias("bin"))
+              .agg(F.count("*").alias("n")))
+    width = (hi - lo) / bins
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"), ends.alias("e"))
+    return (grid.where("e.lo IS NOT NULL").join(counts, "bin", "left")
+            .select("bin", (lo + width * (F.col("bin") - 1)).alias("lo"),
+                    (lo + width * F.col("bin")).alias("hi"), F.coalesce("n", F.lit(0)).alias("n")))
