@@ -42,7 +42,7 @@ RULES = (
     Threshold("symbol_words", "n_symbol_words / n_words", None, 0.4, 20),
     Threshold("shouting", "n_shouted / n_words", None, 0.3, 20),
     Threshold("stop_words", "n_stop_words / n_words", 0.01, None, 100),
-    Threshold("repeated_lines", "n_dup_lines / n_lines", None, 0.3, 20),
+    Threshold("repeated_lines", "n_dup_lines / n_lines", None, 0.75, 20),
 )
 
 
