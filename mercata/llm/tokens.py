@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from mercata.llm.words import fresh
+
 SLICE_BYTES = 4 << 20  # text that is handled at once
 CACHED_WORDS = 400_000
 _encoders: dict[str, "Encoder"] = {}
@@ -84,7 +86,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (one entry more than texts)."""
-        listed = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        listed = pc.ascii_split_whitespace(fresh(texts))
         words = listed.flatten().dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(listed).to_numpy(zero_copy_only=False))]).astype(np.int64)

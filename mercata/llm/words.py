@@ -11,17 +11,26 @@ import xxhash
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
+def fresh(texts: pa.Array) -> pa.Array:
+    """The texts of a slice as an array that begins at 0 (string functions of Arrow misread
+    slices of large columns); NULL, which holds no bytes, is empty."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+    data = (data or pa.py_buffer(b"")).slice(int(at[0]), int(at[-1] - at[0]))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(at - at[0]), data)
+
+
 def split(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words, a code into them for each word, and where each text's words begin (one
+    """Words (distinct before ``lower``), a code into them for each word, and where each text's words begin (one
     entry more than texts). NULL has no words; ``lower`` maps A-Z to a-z."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    listed = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    listed = pc.ascii_split_whitespace(fresh(texts))
     flat = listed.flatten()
     keep = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(listed).to_numpy(zero_copy_only=False))]).astype(np.int64)
     kept = np.concatenate([[0], np.cumsum(keep)])
     coded = flat.filter(pa.array(keep)).dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), kept[bounds]
+    return pc.ascii_lower(coded.dictionary) if lower else coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), kept[bounds]
 
 
 def hashes(words: pa.Array) -> np.ndarray:
