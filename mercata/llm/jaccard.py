@@ -39,9 +39,9 @@ from mercata.llm.words import FACTORS, hashes, mixed, signed, split
 N = 4
 LEAST = 85  # percent
 SHARED = 4
-SMALL = 40
+SMALL = 128
 BLOCK = 256
-COUNTER_BITS = 20  # one megabyte of levels is all that is broadcast
+COUNTER_BITS = 22  # four megabytes of levels are all that is broadcast
 CHUNK_BITS = 14
 ROWS = "doc_id bigint, row bigint, size int, chunk int, counts binary"
 
@@ -100,7 +100,7 @@ def _rows(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
-    """Level of each counter: 0 up to four times the mean, then one more per half octave."""
+    """Level of each counter: 0 up to what chance gives it, then one more per quarter of an octave."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -114,8 +114,9 @@ def _levels(rows: DataFrame) -> np.ndarray:
               .mapInArrow(run, "chunk int, sums binary").collect()):  # fixed: 2 ** COUNTER_BITS numbers
         a = r["chunk"] << CHUNK_BITS
         total[a:a + (1 << CHUNK_BITS)] = np.frombuffer(r["sums"], np.int64)
-    base = 4 * max(1.0, total.mean())
-    return np.clip(np.floor(2 * np.log2(np.maximum(total, 1) / base)) + 1, 0, 255).astype(np.uint8)
+    mean = float(total.mean())
+    base = mean + 4 * mean ** 0.5 + 4
+    return np.clip(np.floor(4 * np.log2(np.maximum(total, 1) / base)) + 1, 0, 255).astype(np.uint8)
 
 
 def _leading(spark: SparkSession, docs: DataFrame, levels: np.ndarray, n: int, least: int, shared: int) -> DataFrame:
