@@ -40,8 +40,9 @@ def session_key(user: Column, ga_session_id: Column) -> Column:
 # --- cleaning ------------------------------------------------------------
 
 def parse_date(c: Column, fmt: str = "yyyyMMdd") -> Column:
-    """Text to DATE; anything that does not parse becomes NULL."""
-    return F.try_to_date(c.cast("string"), fmt)
+    """Text to DATE, with or without a time part; anything that does not parse becomes NULL."""
+    text = c.cast("string")
+    return F.coalesce(F.try_to_date(text, fmt), F.try_to_date(text, f"{fmt} HH:mm:ss"))
 
 
 def micros_to_ts(c: Column) -> Column:
@@ -77,6 +78,7 @@ def channel_key(source: Column, medium: Column) -> Column:
 
 def channel_type(medium: Column) -> Column:
     """First matching class of a traffic medium."""
+    # The classes, their marks and their order.
     m = F.lower(medium)
     return (F.when(m.contains("cpc") | m.contains("paid"), "paid")
             .when(m.contains("email"), "email")

@@ -162,7 +162,7 @@ def pricing_analytics(order_items: DataFrame, products: DataFrame,
         F.count_distinct("order_id").alias("times_purchased"),
         F.sum(F.col("quantity") * F.col("unit_price")).alias("product_revenue"),
         F.sum("unit_price").alias("_price_sum"), F.count("unit_price").alias("_prices"))
-    base = F.col("base_price").cast("decimal(12,2)")
+    base = F.col("base_price").cast("decimal(18,2)")
     n = F.col("_prices").cast("decimal(14,0)")
     # (base - average) / base, multiplied out so that only one division rounds.
     off = (base * n - F.col("_price_sum").cast("decimal(24,2)")) * 100 / F.nullif(base * n, F.lit(0))

@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from mercata.functions.columns import plain_number
 from mercata.functions.grounding import first_unverified, mislabelled, validation_status
 
-# Caveat, sentence and prompt texts, thresholds and changes.
+# Caveat and sentence, thresholds and changes.
 DATA_LIMITATION = ("Single-period data - this is average ROAS, not a true marginal/incremental "
                    "ROAS estimate")
 SENTENCE = ("%s spent $%s and generated $%s in attributed revenue, resulting in a ROAS of %s and "
             "a CAC of $%s. Based on this ROAS, the recommendation is to %s spend by %s%%.")
-PROMPT_HEAD = ("Complete this sentence using ONLY the exact words and numbers given - do not add "
-               "reasoning, comparisons, or conclusions of your own:\n\n'")
-PROMPT_TAIL = ("'\n\nOutput ONLY that completed sentence, with the values filled in exactly as "
-               "given above. Do not add any additional sentences, explanations, or reasoning.")
+PROMPT_HEAD = "Repeat the next line word for word; change no figure and leave nothing out:\n\n'"
+PROMPT_TAIL = "'\n\nAnswer with that line alone."
 ROAS_HIGH, ROAS_LOW, CHANGE_UP, CHANGE_DOWN = 1.5, 0.8, 15, -20
 
 

@@ -41,13 +41,19 @@ def paying_customers_by_channel(events: DataFrame) -> DataFrame:
             .agg(F.count_distinct("user_pseudo_id").alias("paying_customers")))
 
 
+def payers_by_channel(events: DataFrame) -> DataFrame:
+    """Distinct purchasers per channel key: spellings of one channel share their customers."""
+    return (_named(events).where("event_name = 'purchase'")
+            .groupBy(channel_key(F.col("traffic_source"), F.col("traffic_medium")).alias("channel_name"))
+            .agg(F.count_distinct("user_pseudo_id").alias("paying_customers")))
+
+
 def calibrated_spend(channels: DataFrame, paying: DataFrame, target_cac) -> DataFrame:
-    """Spend that buys each paid channel its paying customers at ``target_cac`` each."""
-    customers = (paying.groupBy(channel_key(F.col("source"), F.col("medium")).alias("channel_name"))
-                 .agg(F.sum("paying_customers").alias("paying_customers")))
+    """Spend that buys each paid channel its paying customers (``payers_by_channel``) at
+    ``target_cac`` each."""
     cac = F.lit(str(target_cac)).cast("decimal(18,2)")
     return (channels.where("channel_type = 'paid'")
-            .join(customers, "channel_name", "left")
+            .join(paying, "channel_name", "left")
             .select("channel_id",
                     (F.coalesce(F.col("paying_customers"), F.lit(0)).cast("decimal(18,0)") * cac)
                     .cast("decimal(18,2)").alias("total_spend")))
@@ -96,7 +102,7 @@ def assign_campaign(daily: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Campaign of each (channel, day) spend row: the lowest id active that day, else
     the channel's lowest id. Spend of a channel without campaigns is left out.
 
-    The interval is turned into days first (clipped to the days spent on), so the
+    A campaign without start or end is never active. The interval is turned into days first (clipped to the days spent on), so the
     join is on equality and a channel's rows are not paired with all its campaigns.
     """
     span = daily.agg(F.struct(F.min("spend_date").alias("lo"),
@@ -105,7 +111,7 @@ def assign_campaign(daily: DataFrame, campaigns: DataFrame) -> DataFrame:
                .select("channel_id", "campaign_id",
                        F.greatest("start_date", "s.lo").alias("lo"),
                        F.least("end_date", "s.hi").alias("hi"))
-               .where("lo <= hi"))
+               .where("start_date IS NOT NULL AND end_date IS NOT NULL AND lo <= hi"))
     active = (clipped.select("channel_id", "campaign_id",
                              F.explode(F.sequence("lo", "hi")).alias("spend_date"))
               .groupBy("channel_id", "spend_date").agg(F.min("campaign_id").alias("_active")))
@@ -122,7 +128,7 @@ def planned_ad_spend(events: DataFrame, campaigns: DataFrame, start: str, end: s
     ``target_cac``, spread over the days by weekday and booked on the campaign active
     that day. Channels without a paying customer are not spent on."""
     dimension = channel_dimension(events)
-    totals = calibrated_spend(dimension, paying_customers_by_channel(events), target_cac)
+    totals = calibrated_spend(dimension, payers_by_channel(events), target_cac)
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
     curve = (totals.where("total_spend > 0")
              .select("channel_id", "total_spend", days.alias("spend_date"))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000  # rows of one key that one join group may hold
-BROADCAST_ROWS = 200_000  # rows a dimension may have to be broadcast
 _BUCKET_DIGITS = 3  # 16 ** 3 = 4096 buckets
 
 
@@ -34,8 +33,9 @@ def join_by_key(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                 sizes: DataFrame | None = None) -> DataFrame:
     """Join rows with a frame that has each key once, splitting hot keys.
 
-    A key with more than ``rows_per_salt`` rows is cut into salts by input split (which
-    also separates identical rows, and stays the same when a task is run again); its
+    A key with more than ``rows_per_salt`` rows is cut into salts by the content of its rows
+    and by input split (which separates identical rows); both stay the same when a task is
+    run again, and rows that arrive in one partition by their key spread as well. Its
     lookup row is copied once per salt. The list of hot keys has at most
     |rows| / rows_per_salt entries and is broadcast. Rows with a NULL key match nothing
     and are spread as well. ``sizes`` (key, count) is given by callers that have it, or
@@ -45,25 +45,16 @@ def join_by_key(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
         sizes = rows.where(F.col(key).isNotNull()).groupBy(key).count()
     hot = (sizes.where(F.col("count") > rows_per_salt)
            .select(key, salts(F.col("count"), rows_per_salt).alias("_salts")))
-    split = F.spark_partition_id()
-    salt = (F.when(F.col(key).isNull(), split)
-            .otherwise(F.coalesce(F.pmod(split, F.col("_salts")), F.lit(0))))
+    hashable = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    split = F.spark_partition_id() + F.xxhash64(*hashable) % F.lit(1 << 20) if hashable else F.spark_partition_id()
+    salt = (F.when(F.col(key).isNull(), split.cast("int"))
+            .otherwise(F.coalesce(F.pmod(split, F.col("_salts")).cast("int"), F.lit(0))))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     spread = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
     copied = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", copies).drop("_salts")
     return spread.join(copied, [key, "_salt"], how).drop("_salt")
 
 
-def join_dimension(rows: DataFrame, dimension: DataFrame, key: str, how: str = "left",
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join rows with a dimension that has each key once. Its rows are counted (at most
-    ``broadcast_rows`` + 1 of them): up to the limit it is broadcast, beyond it the rows
-    are joined by key with hot keys split."""
-    if dimension.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(dimension), key, how)
-    return join_by_key(rows, dimension, key, how)
-
-
 def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
     """Number the rows 1..n by (hash bucket of ``key``, ``key``); ``key`` is unique text.
 

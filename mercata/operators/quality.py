@@ -110,7 +110,7 @@ def _key_sizes(child: DataFrame, fk: str) -> DataFrame:
 def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Distinct child keys without a parent: ``fk``, and ``n``, the rows that hold it."""
     keys = _key_sizes(child, fk).withColumnRenamed("count", "n")
-    return keys.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return keys.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
 def orphan_checks(tables: Mapping[str, DataFrame], rules=PARENT_RULES) -> DataFrame:
@@ -155,13 +155,16 @@ def mark_violations(df: DataFrame, *, not_null: Sequence[str] = (), pk: str | No
     marked = df
     reasons = [F.when(F.col(c).isNull(), f"null {c}") for c in not_null]
     if pk:
+        # A primary key implies NOT NULL.
+        reasons.append(F.when(F.col(pk).isNull(), f"null {pk}"))
         sizes = df.groupBy(pk).count()
         repeated = sizes.where("count > 1").select(pk, F.lit(True).alias("_repeated"))
         marked = join_by_key(marked, repeated, pk, "left", rows_per_salt, sizes)
         reasons.append(F.when(F.col("_repeated"), f"duplicate {pk}"))
     for i, (fk, parent, parent_pk) in enumerate(fks):
-        lost = orphan_keys(df, fk, parent, parent_pk).select(fk, F.lit(True).alias(f"_lost{i}"))
-        marked = join_by_key(marked, lost, fk, "left", rows_per_salt, _key_sizes(df, fk))
+        lost = orphan_keys(df, fk, parent, parent_pk)  # with the rows of each such key
+        marked = join_by_key(marked, lost.select(fk, F.lit(True).alias(f"_lost{i}")), fk, "left",
+                             rows_per_salt, lost.withColumnRenamed("n", "count"))
         reasons.append(F.when(F.col(f"_lost{i}"), f"orphan {fk}"))
     return marked.select(*df.columns, F.coalesce(*reasons).alias("reason"))
 
@@ -178,7 +181,7 @@ def enforce(df: DataFrame, *, not_null: Sequence[str] = (), pk: str | None = Non
                 marked.where("reason IS NOT NULL").select(*columns, "reason"))
     if on_violation != "fail":
         raise ValueError("on_violation is 'fail' or 'quarantine'")
-    broken = marked.where("reason IS NOT NULL").groupBy("reason").count().orderBy("reason").take(20)
+    broken = marked.where("reason IS NOT NULL").groupBy("reason").count().orderBy("reason").collect()  # one row a rule
     if broken:
         raise ConstraintViolation("; ".join(f"{r['reason']}: {r['count']} rows" for r in broken))
     return df

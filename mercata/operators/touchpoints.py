@@ -18,21 +18,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key
-from mercata.operators.keys import BROADCAST_ROWS, ROWS_PER_SALT, join_dimension, salts
+from mercata.operators.keys import ROWS_PER_SALT, salts
 
 LOOKBACK = 10  # fixed value: touchpoints kept per order
 
 
-def match_channel(df: DataFrame, channels: DataFrame, how: str = "left",
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def match_channel(df: DataFrame, channels: DataFrame, how: str = "left") -> DataFrame:
     """Add ``channel_id`` by the case-insensitive name ``source / medium``.
 
-    Rows without a matching channel keep a NULL id. The dimension is broadcast only
-    after its rows have been counted; a larger one is joined with hot channels split.
+    Rows without a matching channel keep a NULL id. Spark broadcasts the dimension if
+    its bytes are below the threshold; adaptive execution splits hot channels otherwise.
     """
     names = channels.select(F.lower("channel_name").alias("_key"), "channel_id")
     keyed = df.withColumn("_key", channel_key(F.col("traffic_source"), F.col("traffic_medium")))
-    return join_dimension(keyed, names, "_key", how, broadcast_rows).drop("_key")
+    return keyed.join(names, "_key", how).drop("_key")
 
 
 def last_sessions_per_day(sessions: DataFrame, k: int = LOOKBACK) -> DataFrame:

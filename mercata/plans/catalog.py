@@ -258,7 +258,7 @@ def _dimension(spark, sf) -> DataFrame:
 
 @query
 def calibrated_spend(spark, sf):
-    paying = channels.paying_customers_by_channel(t.staged_events(spark, sf))
+    paying = channels.payers_by_channel(t.staged_events(spark, sf))
     return channels.calibrated_spend(_dimension(spark, sf), paying, t.TARGET_CAC)
 
 

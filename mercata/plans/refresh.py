@@ -39,11 +39,16 @@ def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, da
             writers.full_refresh(df, f"{target}/{kind}/{name}")
         return {name: spark.read.parquet(f"{target}/{kind}/{name}") for name in frames}
 
-    events = clean.clean_events(readers.flatten_events(
-        readers.scan_events(spark, export, date_from, date_to)), file_order)
-    items = clean.clean_items(readers.explode_items(
-        readers.scan_events(spark, export, date_from, date_to, readers.ITEM_EVENT_NAMES)),
-        [*file_order, "item_category", "price", "quantity"])
+    def total(df: DataFrame) -> list[str]:
+        """The given order, then all other columns: the row kept of equal keys does not depend
+        on partitioning, and a task run again keeps the same one."""
+        return [*file_order, *[c for c in df.columns if c not in file_order]]
+
+    flat = readers.flatten_events(readers.scan_events(spark, export, date_from, date_to))
+    events = clean.clean_events(flat, total(flat))
+    sold = readers.explode_items(
+        readers.scan_events(spark, export, date_from, date_to, readers.ITEM_EVENT_NAMES))
+    items = clean.clean_items(sold, total(sold))
     lists = {"channels": clean.clean_channels(channels, ["channel_name", "channel_type"]),
              "campaigns": clean.clean_campaigns(campaigns),
              "ad_spend": clean.clean_ad_spend(ad_spend, ["spend_id"])}
@@ -56,6 +61,7 @@ def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, da
     marts = stored("marts", views.build_marts(**staging))
     out = views.build_views(marts)
     out.update(stored("results", {name: out[name] for name in STORED_RESULTS}))
+    out["vw_attribution_comparison"] = views.comparison(marts, out["channel_attribution"])
     views.register_views(out)
 
     def day(text: str) -> str:

@@ -33,13 +33,18 @@ def build_marts(events: DataFrame, items: DataFrame, channels: DataFrame, campai
     }
 
 
+def comparison(m: dict[str, DataFrame], multi_touch: DataFrame) -> DataFrame:
+    """Last click next to the multi-touch results, which may be stored ones."""
+    last = attribution.last_click(m["orders"], m["sessions"], m["marketing_channels"])
+    return attribution.attribution_comparison(last, multi_touch, m["marketing_channels"])
+
+
 def build_views(m: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The seven analytics views over stored marts, the touchpoint table and the
     multi-touch results."""
     ltv = analytics.customer_ltv(m["sessions"], m["orders"])
     multi_touch = attribution.attribute_journeys(m["orders"], m["sessions"],
                                                  m["marketing_channels"])
-    last = attribution.last_click(m["orders"], m["sessions"], m["marketing_channels"])
     return {
         "vw_funnel_conversion": analytics.funnel_conversion(m["events"], m["sessions"]),
         "vw_channel_cac_roas": analytics.channel_cac_roas(
@@ -49,8 +54,7 @@ def build_views(m: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "vw_customer_segments": analytics.customer_segments(
             analytics.customer_ltv(m["sessions"], m["orders"], ordered=False)),
         "vw_pricing_analytics": analytics.pricing_analytics(m["order_items"], m["products"]),
-        "vw_attribution_comparison": attribution.attribution_comparison(
-            last, multi_touch, m["marketing_channels"]),
+        "vw_attribution_comparison": comparison(m, multi_touch),
         "channel_attribution": multi_touch,
         "customer_touchpoints": touchpoints.build_touchpoints(
             m["orders"], m["sessions"], m["marketing_channels"]),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType
 
 from mercata.functions.columns import event_param, items_value, session_key
 
@@ -62,20 +62,30 @@ def explode_items(events: DataFrame) -> DataFrame:
                     .alias("session_id")))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _typed(text: Column, kind: DataType) -> Column:
+    """The text in its type or NULL; whole numbers may be spelled with a fraction of zeros."""
+    if not isinstance(kind, IntegralType):
+        return text.try_cast(kind)
+    number = text.try_cast("decimal(38,10)")
+    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind))
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
     """CSV with a header, read as text and cast to ``schema``.
 
     Every usual spelling of a missing value becomes NULL, and a field that does
-    not fit its type becomes NULL too. Columns are found by name in the header, so
-    files may hold them in another order or hold more of them.
+    not fit its type becomes NULL too. Columns are found by name in the header, which may
+    have another order than ``schema`` or more columns; files of one folder whose headers
+    differ are refused when they are read. ``multiline`` allows line breaks in quoted texts
+    (a file is then one task).
     """
     names = spark.read.option("header", True).csv(path).columns  # reads the header only
-    text = (spark.read.option("header", True).option("multiLine", False)
+    text = (spark.read.option("header", True).option("multiLine", multiline).option("enforceSchema", False)
             .option("escape", '"')
             .schema(StructType([StructField(n, StringType()) for n in names]))
             .csv(path))
     return text.select(*[
-        F.when(~F.col(f.name).isin(*NULL_TEXTS), F.col(f.name)).try_cast(f.dataType).alias(f.name)
+        _typed(F.when(~F.col(f.name).isin(*NULL_TEXTS), F.col(f.name)), f.dataType).alias(f.name)
         if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields])
 

@@ -13,7 +13,10 @@ log = logging.getLogger(__name__)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; blanks around a text stay. Texts with line breaks are quoted and
+    need ``multiline`` to be read back."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> None:

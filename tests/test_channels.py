@@ -34,9 +34,9 @@ def test_dense_ids_are_dense_and_repeatable(spark):
 def test_calibrated_spend(frame):
     ev = events(frame, [("u", "google", "cpc", "purchase"), ("u", "google", "cpc", "purchase"),
                         ("v", "Google", "cpc", "purchase"), ("w", "bing", "cpc", "view_item"),
-                        ("x", "google", "organic", "purchase")])
+                        ("u", "GOOGLE", "cpc", "purchase"), ("x", "google", "organic", "purchase")])
     dim = ch.channel_dimension(ev)
-    paying = ch.paying_customers_by_channel(ev)
+    paying = ch.payers_by_channel(ev)  # u bought under two spellings of one channel
     out = ch.calibrated_spend(dim, paying, "20.50").join(dim, "channel_id")
     assert got(out, "channel_name", "total_spend") == [("bing / cpc", D("0.00")),
                                                        ("google / cpc", D("41.00"))]

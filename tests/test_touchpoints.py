@@ -69,12 +69,16 @@ def test_salted_join_gives_the_same_rows(data):
     assert got(flat) == naive(sessions, orders)
 
 
-def test_large_dimension_is_joined_in_parts(data):
+def test_large_dimension_is_joined_by_key(data, spark):
     _, _, s, _, ch = data
-    small = tp.match_channel(s, ch)
-    large = tp.match_channel(s, ch, broadcast_rows=1)
-    assert got(large, "session_id", "channel_id") == got(small, "session_id", "channel_id")
-    assert large.count() == 120
+    small = got(tp.match_channel(s, ch), "session_id", "channel_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = got(tp.match_channel(s, ch), "session_id", "channel_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert large == small and len(large) == 120
 
 
 def test_candidate_counts(data):
