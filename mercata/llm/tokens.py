@@ -8,6 +8,7 @@ as long as it stays in a cache of bounded size, which has no influence on result
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 from mercata.llm.words import fresh
 
 SLICE_BYTES = 4 << 20  # text that is handled at once
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+MARKS = string.punctuation
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -61,21 +63,45 @@ class Encoder:
         slots = self.slots
         new = [k for k in dict.fromkeys(keys) if k not in slots]
         if new:
-            parts = self._ids(new)
-            sizes = np.array([len(p) for p in parts], np.int64)
-            first, need = len(slots), int(sizes.sum())
-            while first + len(new) > len(self.starts):
-                self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
-            while self.used + need > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used:self.used + need] = np.concatenate(parts)
-            self.sizes[first:first + len(new)] = sizes
-            self.starts[first:first + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.used += need
-            for i, k in enumerate(new):
-                slots[k] = first + i
+            self._learn(new)
         return np.fromiter((slots[k] for k in keys), np.int64, len(keys))
 
+    def _learn(self, new: list[str]) -> None:
+        """Slots for new words; letters with marks after them are put together from both."""
+        pairs: dict[str, tuple[str, str]] = {}
+        if self.splits:
+            for k in new:
+                stem = k.rstrip(MARKS)
+                if len(stem) < len(k) and stem.isascii() and stem.isalpha():
+                    pairs[k] = (stem, k[len(stem):])
+        plain = [x for x in dict.fromkeys(x for k in new for x in pairs.get(k, (k,))) if x not in self.slots]
+        self._add(plain, self._ids(plain))
+        spot = lambda x: self.pool[self.starts[self.slots[x]]:][:self.sizes[self.slots[x]]]
+        self._add(list(pairs), [np.concatenate([spot(a), spot(b)]) for a, b in pairs.values()])
+
+    def _add(self, words: list[str], parts: list[np.ndarray]) -> None:
+        if not words:
+            return
+        sizes = np.array([len(p) for p in parts], np.int64)
+        first, need = len(self.slots), int(sizes.sum())
+        while first + len(words) > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
+        while self.used + need > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + need] = np.concatenate(parts)
+        self.sizes[first:first + len(words)] = sizes
+        self.starts[first:first + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.used += need
+        self.slots.update(zip(words, range(first, first + len(words)), strict=True))
+
+    @property
+    def splits(self) -> bool:
+        """True if the tokenizer parts letters from the marks after them before it encodes."""
+        if not hasattr(self, "_splits"):
+            one, two, both = (self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("quizzical", "%%%,", "quizzical%%%,"))
+            self._splits = one + two == both
+        return self._splits
+
     @property
     def lowers(self) -> bool:
         """True if the tokenizer maps A-Z to a-z itself, so that spellings share a slot."""
