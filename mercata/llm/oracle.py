@@ -1 +1,167 @@
-SQL: dict[str, str] = {}
+"""The numbered queries in SQL, where it can express them.
+
+Tokenizer files (3 and 6) and edit distances (10) have no SQL; those queries are tested against
+plain versions.
+"""
+
+from __future__ import annotations
+
+from mercata.llm.quality import STOP_WORDS
+from mercata.llm.rollups import PATTERNS
+from mercata.llm.secrets import RULES
+from mercata.llm.urlfilter import LOWER, SITES, UPPER
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secret_scan() -> str:
+    """Ends of matches are running sums over the texts between them and their own lengths."""
+    def hits(order: int) -> str:
+        rule, pattern = RULES[order], _quoted(RULES[order].pattern)
+        return (f"SELECT doc_id, {order} AS ord, '{rule.kind}' AS kind, {rule.least} AS least, "
+                f"unnest(regexp_extract_all(t, {pattern}, 0)) AS whole, "
+                f"unnest(regexp_extract_all(t, {pattern}, {rule.group})) AS part, "
+                f"unnest(regexp_split_to_array(t, {pattern})) AS gap, "
+                f"unnest(range(len(regexp_extract_all(t, {pattern}, 0)) + 1)) AS nth FROM d")
+
+    def joined(where: str) -> str:
+        return (f"coalesce(string_agg(kind || ':' || (upto - length(whole)) || ':' || upto, ',' "
+                f"ORDER BY upto - length(whole), ord) FILTER ({where}), '')")
+
+    base = "ord < 3"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in RULES[:3])
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+hits AS ({' UNION ALL '.join(map(hits, range(len(RULES))))}),
+ends AS (SELECT *, CAST(sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id, ord ORDER BY nth) AS BIGINT) AS upto
+         FROM hits WHERE whole IS NOT NULL),
+found AS (SELECT * FROM ends WHERE length(part) >= least)
+SELECT d.doc_id, {counts}, sha256({joined(base)}) AS base_sha256, {joined('ord IS NOT NULL')} AS spans
+FROM d LEFT JOIN found f ON f.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+SUBSTRINGS = f"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS seq
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM windows
+          QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS at FROM again, range(20) r(k)),
+spots AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM w),
+kept AS (SELECT s.doc_id, count(*) FILTER (g.at IS NOT NULL) AS n_removed,
+                string_agg(s.word, ' ' ORDER BY s.at) FILTER (g.at IS NULL) AS rest
+         FROM spots s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.at = s.at GROUP BY s.doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
+
+REVISITS = r"""
+WITH split AS (SELECT page_id, html, url, regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
+parts AS (SELECT page_id, html, url,
+    regexp_replace(lower(regexp_extract(bare, '^(?i:https?)://([^/?]*)', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
+    regexp_replace(regexp_extract(bare, '^(?i:https?)://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+        lambda q: q <> '' AND NOT regexp_matches(q, '^(?:utm_[a-z]+|ref|sessionid|gclid|fbclid)=[^&]*'))), '&') AS query
+    FROM split),
+captures AS (SELECT page_id,
+    regexp_extract(host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END, '^([^/]*/[^/]*)', 1) AS resource,
+    page_id % 3 <> 0 AS revisit, CAST(page_id // 40 AS VARCHAR) AS version,
+    page_id % 7 <> 0 AND page_id % 11 <> 0 AS tagged, page_id % 11 <> 0 AS dated,
+    length(coalesce(html, '')) AS size FROM parts),
+found AS (SELECT *, CASE WHEN resource IS NOT NULL THEN max(page_id) FILTER (NOT revisit) OVER (
+    PARTITION BY resource ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source_id FROM captures),
+judged AS (SELECT o.*, r.size AS full_size, CASE WHEN r.page_id IS NULL THEN 'orphan'
+    WHEN (o.tagged AND r.tagged) OR (o.dated AND r.dated) THEN CASE WHEN o.version = r.version THEN 'resolved' ELSE 'mismatch' END
+    ELSE 'unverified' END AS outcome
+    FROM found o LEFT JOIN captures r ON r.page_id = o.source_id WHERE o.revisit)
+SELECT page_id, resource AS url, source_id, outcome, CASE WHEN outcome IN ('resolved', 'unverified') THEN
+    'content-length=' || full_size || ';date=' || page_id || ';etag=' || version END AS headers
+FROM judged"""
+
+
+def _url_filter() -> str:
+    sites = ", ".join("({}, {}, {})".format(*map(_quoted, (*_halves(r.name), r.action))) for r in SITES)
+    return rf"""
+WITH s(site, folder, action) AS (VALUES {sites}),
+cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^/?#]*(.*)$', 1) AS tail FROM cut),
+best AS (SELECT page_id, site || folder AS rule, action FROM p JOIN s
+         ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, folder)
+         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(site || folder) DESC) = 1)
+SELECT p.page_id, host, path, rule, coalesce(action, CASE
+    WHEN regexp_matches(host || tail, '^(?:[^/?#]*\.)?(?:adult-x|ads|tracker)\.') OR contains(tail, '/banners/')
+      OR regexp_matches(host || tail, '[^A-Za-z0-9_.%-]sessionid(?:[^A-Za-z0-9_.%-]|$)')
+      OR ends_with(host || tail, '.exe') THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN best b ON b.page_id = p.page_id"""
+
+
+def _halves(name: str) -> tuple[str, str]:
+    site, slash, folder = name.partition("/")
+    return site, slash + folder
+
+
+def _rollups() -> str:
+    def count(version: str) -> str:
+        return f"len(regexp_extract_all(coalesce(text, ''), {_quoted(PATTERNS[version])}))"
+    return f"""
+SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM (
+    SELECT CASE WHEN l.doc_id IS NULL THEN source ELSE 'quality ' || quality END AS source, lang,
+           'words_1' AS version, {count('words_1')} AS tokens
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+    UNION ALL
+    SELECT source, lang, 'marks_2', {count('marks_2')} FROM documents WHERE length(coalesce(text, '')) >= 200)
+GROUP BY source, lang, version"""
+
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS seq
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM d)),
+often AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, seq) > 1),
+again AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM often, range(5) r(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+    coalesce(l.n, 0) AS n_lines, coalesce(a.n, 0) AS n_repeat_words,
+    len(list_filter(words, lambda w: w IN ({', '.join(map(_quoted, STOP_WORDS))}))) AS stops,
+    len(list_filter(words, lambda w: regexp_matches(w, '^(?:[#*$%&|<>]+|[^#*$%&|<>]+[#*$%&|<>]{{3,}})$'))) AS marks,
+    len(list_filter(words, lambda w: ends_with(w, '!!'))) AS shouts
+    FROM d LEFT JOIN again a ON a.doc_id = d.doc_id LEFT JOIN lines l ON l.doc_id = d.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR word_chars / n_words < 1.5 OR word_chars / n_words > 25
+         OR (n_words >= 20 AND (n_symbols / n_words > 0.5 OR marks / n_words > 0.4 OR shouts / n_words > 0.3
+                                OR n_dup_lines / n_lines > 0.75))
+         OR (n_words >= 100 AND stops / n_words < 0.01)) AS kept
+FROM b"""
+
+JACCARD = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                       '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS gram FROM
+    (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words), 1) + 1))) AS i FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b
+           ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (SELECT x, y FROM shared s JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * s.n >= 85 * (p.n + q.n - s.n)),
+reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+SQL: dict[str, str] = {
+    "op1_secret_scan": _secret_scan(),
+    "op2_substring_dedup": SUBSTRINGS,
+    "op4_revisit_resolution": REVISITS,
+    "op5_url_filter": _url_filter(),
+    "op7_token_rollups": _rollups(),
+    "op8_quality_rules": QUALITY,
+    "op9_ngram_jaccard": JACCARD,
+}

@@ -68,9 +68,9 @@ def sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_rollups(spark: SparkSession, sf: str) -> DataFrame:
-    """Three batches: all documents by one tokenizer version, and by a second one; documents whose
-    text has a later copy are deleted in that version's counts, documents with a label are counted
-    anew under their quality as source. The second batch is committed twice."""
+    """Three batches: all documents by one tokenizer version, and by a second one; texts under 200
+    characters are deleted in that version's counts, documents with a label are revised in the
+    first one's, under their quality as source. The second batch is committed twice."""
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     store = scratch_folder(spark, "rollups")
