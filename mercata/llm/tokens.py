@@ -8,6 +8,7 @@ as long as it stays in a cache of bounded size, which has no influence on result
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Iterator
 
@@ -36,59 +37,79 @@ class Encoder:
 
     def _reset(self) -> None:
         self.slots: dict[str, int] = {"": 0}
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word. Words are joined by a mark that has one id of its own and stands
-        between blanks; words with that character are encoded alone."""
-        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
-        plain = [i for i, w in enumerate(words) if "|" not in w] if self.mark is not None else []
-        for k in range(0, len(plain), 20_000):
-            part = plain[k:k + 20_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(
-                [" | ".join([words[i] for i in part])], add_special_tokens=False)[0].ids, np.uint32)
-            pieces = np.split(ids, np.flatnonzero(ids == self.mark))
-            for n, (i, piece) in enumerate(zip(part, pieces, strict=True)):
-                out[i] = piece[1:] if n else piece
-        alone = set(range(len(words))).difference(plain)
-        for i in alone:
-            out[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, np.uint32)
-        return out
-
-    def _slots_of(self, words: list[str]) -> np.ndarray:
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each has. Words are joined by a mark that has one
+        id of its own and stands between blanks, so none of them may have that character."""
+        flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), 20_000):
+            part = words[k:k + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" | ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            marks = ids == self.mark
+            own = np.diff(np.flatnonzero(marks), prepend=-1, append=len(ids)) - 1
+            if len(own) != len(part):
+                raise ValueError("a word of the tokenizer holds the mark between words")
+            flat.append(ids[~marks])
+            sizes.append(own)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    def _slots_of(self, words: pa.Array) -> np.ndarray:
         if len(self.slots) > self.cached:
             self._reset()
-        keys = [w.lower() if w.isascii() and self.lowers else w for w in words]
-        slots = self.slots
-        new = [k for k in dict.fromkeys(keys) if k not in slots]
-        if new:
-            self._learn(new)
-        return np.fromiter((slots[k] for k in keys), np.int64, len(keys))
+        spelled = pc.ascii_lower(words).dictionary_encode() if self.lowers else None
+        keys = (spelled.dictionary if self.lowers else words).to_pylist()
+        slots = np.fromiter(map(self.slots.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            lacking = [keys[i] for i in new.tolist()]
+            self._learn(lacking)
+            slots[new] = self._known(lacking)
+        return slots[spelled.indices.to_numpy()] if self.lowers else slots
+
+    def _known(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+
+    def _gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in these slots in a row, and where each word's end."""
+        sizes = self.sizes[slot]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        spots = np.repeat(self.starts[slot] - ends + sizes, sizes)
+        spots += np.arange(len(spots))
+        return self.pool[spots], ends
 
     def _learn(self, new: list[str]) -> None:
-        """Slots for new words; letters with marks after them are put together from both."""
+        """Slots for distinct new words; letters with marks after them are put together from both."""
         pairs: dict[str, tuple[str, str]] = {}
         if self.splits:
             for k in new:
                 stem = k.rstrip(MARKS)
                 if len(stem) < len(k) and stem.isascii() and stem.isalpha():
                     pairs[k] = (stem, k[len(stem):])
-        plain = [x for x in dict.fromkeys(x for k in new for x in pairs.get(k, (k,))) if x not in self.slots]
-        self._add(plain, self._ids(plain))
-        spot = lambda x: self.pool[self.starts[self.slots[x]]:][:self.sizes[self.slots[x]]]
-        self._add(list(pairs), [np.concatenate([spot(a), spot(b)]) for a, b in pairs.values()])
-
-    def _add(self, words: list[str], parts: list[np.ndarray]) -> None:
+        halves = list(itertools.chain.from_iterable(pairs.values()))
+        plain = dict.fromkeys(k for k in new if k not in pairs) if pairs else dict.fromkeys(new)
+        plain |= dict.fromkeys(x for x in halves if x not in self.slots)
+        joined = [x for x in plain if "|" not in x] if self.mark is not None else []
+        alone = [x for x in plain if "|" in x] if self.mark is not None else list(plain)
+        self._add(joined, *self._joined(joined))
+        self._add(alone, *self._alone(alone))
+        ids, ends = self._gather(self._known(halves))
+        self._add(list(pairs), ids, np.diff(ends[1::2], prepend=0))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         if not words:
             return
-        sizes = np.array([len(p) for p in parts], np.int64)
-        first, need = len(self.slots), int(sizes.sum())
+        first, need = len(self.slots), len(ids)
         while first + len(words) > len(self.starts):
             self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes))
         while self.used + need > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + need] = np.concatenate(parts)
+        self.pool[self.used:self.used + need] = ids
         self.sizes[first:first + len(words)] = sizes
         self.starts[first:first + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.used += need
@@ -116,11 +137,9 @@ class Encoder:
         words = listed.flatten().dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(listed).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        slot = self._slots_of(words.dictionary.to_pylist())[codes] if len(codes) else np.zeros(0, np.int64)
-        sizes, starts = self.sizes[slot], self.starts[slot]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.pool[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
-        at = ends[bounds]
+        slot = self._slots_of(words.dictionary)[codes] if len(codes) else np.zeros(0, np.int64)
+        ids, ends = self._gather(slot)
+        at = np.concatenate([[0], ends])[bounds]
         if end is not None:
             ids = np.insert(ids, at[1:], np.uint32(end))
             at = at + np.arange(len(at))
