@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SALTS = 32  # parts of the addresses with one token
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,14 +89,24 @@ def _tokens(address: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(lowered(address), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
+def _salt() -> Column:
+    """The part of an address, by its content."""
+    return F.pmod(F.xxhash64("address"), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def _salted(rules: DataFrame) -> DataFrame:
+    """Each row once for every part: a token that most addresses have is met in many tasks."""
+    return rules.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+
+
 def index(spark: SparkSession, addresses: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(token, nth, regex): each rule under its rarest token, "" if it has none."""
     literals = sorted({t for r in rules for t in tokens_of(r)})
     counts: dict[str, int] = {}
     if literals:
         wanted = spark.createDataFrame([(t,) for t in literals], "token string")
-        counts = dict(addresses.select(F.explode(_tokens(F.col("address"))).alias("token"))
-                      .join(wanted, "token").groupBy("token").count().collect())  # one row a literal
+        counts = dict(addresses.select(F.explode(_tokens(F.col("address"))).alias("token"), _salt())
+                      .join(_salted(wanted), ["token", "salt"]).groupBy("token").count().collect())  # one row a literal
     rows = [(min(tokens_of(r), key=lambda t: (counts.get(t, 0), t), default=""), i, compiled(r))
             for i, r in enumerate(rules)]
     return spark.createDataFrame(rows, "token string, nth int, regex string")
@@ -114,8 +125,8 @@ def judge(spark: SparkSession, pages: DataFrame, keys: Sequence[str] = ("page_id
                                F.lit(r.name).alias("name"), F.lit(r.pattern).alias("pattern"))
                       for i, r in enumerate(rules)]) if rules else None
     fetched = (addresses.select("address", F.explode(F.concat(_tokens(F.col("address")), F.array(F.lit(""))))
-                                .alias("token"))
-               .join(filed, "token"))
+                                .alias("token"), _salt())
+               .join(_salted(filed), ["token", "salt"]))
     fits = fetched.withColumn("fits", F.expr("address RLIKE regex"))
     best = (fits.groupBy("address").agg(
         F.count("*").alias("candidates"),
