@@ -268,15 +268,20 @@ def linked(spark: SparkSession, docs: DataFrame, scratch: str, key: str = "doc_i
     groups = components(spark, close.unionByName(hot), f"{scratch}/groups")
     groups.write.mode("overwrite").parquet(f"{scratch}/labels")
     labels = spark.read.schema("node bigint, label bigint").parquet(f"{scratch}/labels")
+    # Written: a join with an aggregate in it is not split where a group holds many rows.
+    labels.groupBy("label").agg(F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{scratch}/sizes")
+    sizes = spark.read.schema("label bigint, rows bigint").parquet(f"{scratch}/sizes")
     members = (own.where("row IS NOT NULL").groupBy("row").agg(F.min("doc_id").alias("doc_id"))
                .join(labels.withColumnRenamed("node", "row"), "row")
-               .join(labels.groupBy("label").agg(F.count("*").alias("rows")), "label"))
+               .join(sizes, "label"))
     found = components(spark, _links(members, plain, n, least, block), f"{scratch}/links")
     found.write.mode("overwrite").parquet(f"{scratch}/found")
     node = spark.read.schema("node bigint, label bigint").parquet(f"{scratch}/found").withColumnRenamed("node", "row")
     # Rows without links are their own component; the smallest document of all copies names it.
     named = own.join(node, "row", "left").withColumn("label", F.coalesce("label", "row"))
-    names = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    (named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+     .write.mode("overwrite").parquet(f"{scratch}/names"))
+    names = spark.read.schema("label bigint, component_id bigint").parquet(f"{scratch}/names")
     return (named.join(names, "label", "left")
             .select("doc_id", F.col("size").cast("long").alias("n_shingles"),
                     F.coalesce("component_id", "doc_id").alias("component_id")))
