@@ -3,6 +3,10 @@
 Quality rules, near-duplicate removal by n-gram Jaccard similarity, benchmark decontamination,
 masking of secrets, packing into token sequences. Each stage works on what the one before kept;
 all but the last return the columns of ``documents``.
+
+Repeated rows (same id and text) stay once from the second stage on. Rows with a NULL id have no
+near duplicates, but share one fate in the third stage, which knows documents by their id. NULL and
+empty texts fail the quality rules. Empty tables give empty results; other columns are carried along.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
     linked = jaccard.linked(spark, docs, scratch_folder(spark, "pipeline-jaccard"))
-    return _only(docs, linked.where("doc_id <> component_id"), "left_anti").dropDuplicates(["doc_id"])
+    return _only(docs, linked.where("doc_id <> component_id"), "left_anti").dropDuplicates(["doc_id", "text"])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
