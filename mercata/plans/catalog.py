@@ -12,6 +12,7 @@ from mercata.functions import columns as c
 from mercata.functions import grounding as g
 from mercata.operators import (analytics, attribution, budget, channels, clean, marts, quality,
                                stats, touchpoints)
+from mercata.plans import gate
 from mercata.plans import testbed as t
 from mercata.plans import views as v
 from mercata.session import scratch_folder
@@ -364,6 +365,27 @@ def enforce_constraints(spark, sf):
                          "order_total")
 
 
+@query
+def mart_quarantine(spark, sf):
+    """Rows that the load gate refuses in marts of the dirty files, by table and reason."""
+    events = clean.clean_events(t.raw_events(spark, sf), ["line_no"]).rows
+    items = clean.clean_items(t.raw_items(spark, sf), ["line_no"]).rows
+    folder = scratch_folder(spark, "gate")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        writers.full_refresh(df, f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    found = gate.gate({
+        "customers": marts.mart_customers(events), "products": marts.mart_products(items),
+        "marketing_channels": t.channel_rows(spark),
+        "sessions": marts.mart_sessions(events, ["line_no"]),
+        "campaigns": t.raw_campaigns(spark, sf), "orders": marts.mart_orders(events, ["line_no"]),
+        "events": marts.mart_events(events), "order_items": marts.mart_order_items(items),
+        "ad_spend": t.raw_ad_spend(spark, sf).withColumnRenamed("line_no", "spend_id")}, keep)
+    return gate.summary(found.refused)
+
+
 # --- views ---------------------------------------------------------------
 
 def _funnel(spark, sf, ordered=True) -> DataFrame:

@@ -178,6 +178,22 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT 2 AS channel_id, event_date AS spend_date,
                CAST((CAST(SUM(value) * 100 AS BIGINT) + 1) // 2 / 100.0 AS DECIMAL(18,2)) AS amount
         FROM ev WHERE k % 6 = 1 AND event_name = 'add_to_cart' GROUP BY event_date"""),
+    "g_cust": (("cln",), "SELECT user_pseudo_id, MIN(event_date) AS day FROM cln GROUP BY 1"),
+    "g_sess": (("cln", "g_cust"), """
+        SELECT session_id, CASE WHEN event_date IS NULL THEN 'null session_date'
+                                WHEN day IS NULL THEN 'orphan customer_id' END AS reason
+        FROM (SELECT session_id, user_pseudo_id, event_date, ROW_NUMBER() OVER (
+                  PARTITION BY session_id ORDER BY event_datetime, line_no) AS rn FROM cln)
+        JOIN g_cust USING (user_pseudo_id) WHERE rn = 1"""),
+    "g_ord": (("cln", "g_cust", "g_sess"), """
+        SELECT transaction_id, CASE WHEN event_date IS NULL THEN 'null order_date'
+                                    WHEN items_value IS NULL THEN 'null order_total'
+                                    WHEN day IS NULL THEN 'orphan customer_id'
+                                    WHEN reason IS NOT NULL THEN 'orphan session_id' END AS reason
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY transaction_id
+                                           ORDER BY event_datetime, line_no) AS rn
+              FROM cln WHERE event_name = 'purchase' AND transaction_id IS NOT NULL)
+        JOIN g_cust USING (user_pseudo_id) JOIN g_sess USING (session_id) WHERE rn = 1"""),
     "spend": (("daily", "camp"), """
         SELECT CAST(strftime(spend_date, '%Y%m%d') AS INTEGER) AS spend_id, channel_id,
                COALESCE((SELECT MIN(campaign_id) FROM camp c WHERE c.channel_id = d.channel_id
@@ -687,6 +703,22 @@ def build() -> dict[str, str]:
              ELSE 'valid' END AS reason, CAST(items_value AS DOUBLE) AS order_total
         FROM {first_buy}""", "cln")
 
+    # Refused rows; what refers to a refused row is an orphan.
+    add("mart_quarantine", f"""SELECT table_name, reason, COUNT(*) AS rows FROM (
+        SELECT 'customers' AS table_name, 'null first_seen_date' AS reason FROM g_cust WHERE day IS NULL
+        UNION ALL SELECT 'sessions', reason FROM g_sess WHERE reason IS NOT NULL
+        UNION ALL SELECT 'campaigns', 'null channel_id' FROM rcamp WHERE channel_id IS NULL
+        UNION ALL SELECT 'orders', reason FROM g_ord WHERE reason IS NOT NULL
+        UNION ALL SELECT 'events', 'orphan session_id' FROM cln
+            JOIN g_sess USING (session_id) WHERE reason IS NOT NULL
+        UNION ALL SELECT 'order_items', 'orphan order_id' FROM cit
+            WHERE event_name = 'purchase'
+              AND transaction_id NOT IN (SELECT transaction_id FROM g_ord WHERE reason IS NULL)
+        UNION ALL SELECT 'ad_spend', CASE WHEN amount IS NULL THEN 'null amount' ELSE 'orphan campaign_id' END
+            FROM rspend WHERE amount IS NULL
+               OR campaign_id NOT IN (SELECT campaign_id FROM rcamp WHERE channel_id IS NOT NULL))
+        GROUP BY 1, 2""", "g_cust", "g_sess", "g_ord", "rcamp", "cit", "rspend")
+
     # views
     add("funnel_conversion", "SELECT * FROM funnel", "funnel")
     add("channel_cac_roas", f"SELECT {CAC_COLUMNS} FROM cac", "cac")
