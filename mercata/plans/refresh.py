@@ -1,6 +1,6 @@
 """Full refresh of a warehouse folder from a nested event export.
 
-Steps in order: flatten, clean, marts, touchpoints and attribution, checks. Staging and
+Steps in order: flatten, clean, marts, load gate, touchpoints and attribution, checks. Staging and
 mart tables are written, and what follows reads the written tables. So each step is
 computed once, a lost executor costs only the running step, and joins know the size of
 the tables they read.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mercata import schemas
 from mercata.operators import clean
-from mercata.plans import views
+from mercata.plans import gate, views
 from mercata.sources import readers, writers
 
 STORED_RESULTS = ("channel_attribution", "customer_touchpoints")
@@ -26,6 +26,7 @@ class Refreshed(NamedTuple):
     views: dict[str, DataFrame]
     cleaning_log: DataFrame
     quality_summary: DataFrame
+    quarantine: DataFrame
 
 
 def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, date_to: str,
@@ -33,7 +34,8 @@ def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, da
             file_order: Sequence[str] = ("event_timestamp",)) -> Refreshed:
     """``export`` is partitioned by event_date (``yyyyMMdd``), the bounds are given
     alike. ``channels``, ``campaigns`` and ``ad_spend`` are raw frames. Views are
-    registered in the session under their names."""
+    registered in the session under their names. ``quarantine`` counts the rows that the
+    load gate refused; the rows are in ``target``/gate with their reason."""
     def stored(kind: str, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         for name, df in frames.items():
             writers.full_refresh(df, f"{target}/{kind}/{name}")
@@ -58,7 +60,9 @@ def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, da
     cleaned = {"events": events, "items": items, **lists}
     staging = stored("staging", {name: writers.conform_schema(c.rows, shapes[name])
                                  for name, c in cleaned.items()})
-    marts = stored("marts", views.build_marts(**staging))
+    built = views.build_marts(**staging)
+    gated = gate.gate(built, lambda name, df: stored("gate", {name: df})[name])
+    marts = stored("marts", {**built, **gated.loaded})
     out = views.build_views(marts)
     out.update(stored("results", {name: out[name] for name in STORED_RESULTS}))
     out["vw_attribution_comparison"] = views.comparison(marts, out["channel_attribution"])
@@ -69,4 +73,5 @@ def refresh(spark: SparkSession, export: str, target: str, *, date_from: str, da
 
     report = views.quality_checks(marts, day(date_from), day(date_to))
     writers.append_log(report.log, f"{target}/data_quality_log")
-    return Refreshed(marts, out, clean.cleaning_log(*cleaned.values()), report.summary)
+    return Refreshed(marts, out, clean.cleaning_log(*cleaned.values()), report.summary,
+                     gate.summary(gated.refused))

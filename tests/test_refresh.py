@@ -24,6 +24,7 @@ def test_refresh_from_the_nested_export(spark):
     second = run(spark, target, export)  # the same tables again, one more log entry each
     assert spark.read.parquet(f"{target}/data_quality_log").count() == 2 * 23
     assert second.quality_summary.first().total == 23
+    assert second.quarantine.count() == 0  # clean files: nothing is refused
     assert {name: df.count() for name, df in second.marts.items()} == rows
     assert second.marts["customers"].count() == 15
     assert {r.file for r in second.cleaning_log.collect()} == {
