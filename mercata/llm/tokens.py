@@ -62,7 +62,7 @@ class Encoder:
     def _slots_of(self, words: pa.Array) -> np.ndarray:
         if len(self.slots) > self.cached:
             self._reset()
-        spelled = pc.ascii_lower(words).dictionary_encode() if self.lowers else None
+        spelled = self._spelled(words).dictionary_encode() if self.lowers else None
         keys = (spelled.dictionary if self.lowers else words).to_pylist()
         slots = np.fromiter(map(self.slots.get, keys, itertools.repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(slots < 0)
@@ -72,6 +72,14 @@ class Encoder:
             slots[new] = self._known(lacking)
         return slots[spelled.indices.to_numpy()] if self.lowers else slots
 
+    def _spelled(self, words: pa.Array) -> pa.Array:
+        """Words with A-Z in lower case where that cannot change ids. Marks on a capital may compose
+        otherwise than on its small letter, and special tokens are looked for in the raw text."""
+        same = pc.string_is_ascii(words)
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            same = pc.and_not(same, pc.match_substring(words, token.content, ignore_case=True))
+        return pc.if_else(same, pc.ascii_lower(words), words)
+
     def _known(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
 
@@ -125,10 +133,10 @@ class Encoder:
 
     @property
     def lowers(self) -> bool:
-        """True if the tokenizer maps A-Z to a-z itself, so that spellings share a slot."""
+        """True if the tokenizer maps A-Z to a-z itself, so that spellings of ASCII share a slot."""
         if not hasattr(self, "_lowers"):
-            probe = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("QuIzzical", "quizzical")]
-            self._lowers = probe[0] == probe[1]
+            rule = self.tokenizer.normalizer
+            self._lowers = rule is not None and rule.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         return self._lowers
 
     def encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:

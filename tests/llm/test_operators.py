@@ -158,6 +158,14 @@ def test_a_small_word_cache_changes_nothing():
         assert ids.tolist() == ids_of(text) * 2 and at.tolist() == [0, len(ids) // 2, len(ids)]
 
 
+def test_spellings_share_ids_only_where_the_library_gives_the_same():
+    marked = [f"{c}{m}ad" for c in "HJTWhjtw" for m in "\u0331\u030c\u0308\u030a"]
+    tool = tokens.Encoder(queries.tokenizer())
+    for word in ["<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "x<|StartOfText|>Y", "J\u030ca", "H\u0331ad", "HaD", "had", *marked]:
+        ids, _ = tool.encode(pa.array([f"so {word} it", word.swapcase()]), 2)
+        assert ids.tolist() == ids_of(f"so {word} it") + ids_of(word.swapcase()), word
+
+
 def test_token_files(spark, case, tmp_path):
     tokens.tokenized(case, queries.tokenizer(), 2, width=2).write.parquet(f"{tmp_path}/ids")
     rans.write(spark, spark.read.parquet(f"{tmp_path}/ids"), f"{tmp_path}/files", queries.VOCABULARY)
