@@ -1,9 +1,10 @@
 """Benchmark passages in documents, up to a budget of edits, by the q-gram lemma.
 
-Benchmark items are cut into overlapping windows of WINDOW characters. A region of a document
+Windows of WINDOW characters begin at every place of a benchmark item. A region of a document
 that is within k edits of a window of m characters shares at least m - q + 1 - k q of its q-grams,
-on diagonals (place in the document less place in the item) no further than k apart. So, per task
-and slice of documents:
+on diagonals (place in the document less place in the item) no further than k apart. The shortest
+verbatim passage that is always found, wherever it begins, has 76 characters: WINDOW less its
+edits; items shorter than a window are one. So, per task and slice of documents:
 
 1. Places whose q-gram has a mark in a table of all benchmark q-grams are summed over every
    stretch as long as a window and its edits; stretches below the bound of the least window go.
@@ -34,7 +35,7 @@ from mercata.llm.words import FACTORS, mixed
 
 Q = 12
 WINDOW = 80
-STRIDE = 20
+STRIDE = 1  # a passage may begin anywhere in an item
 CHARS_PER_EDIT = 20  # a budget of 5 percent
 CHUNK_CHARS = 1_000_000
 SLICE = 1 << 20  # bytes of text that a task handles at once
@@ -84,10 +85,6 @@ def qgrams(flat: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def _budget(m: int, q: int) -> int:
-    return min(m // CHARS_PER_EDIT, (m - q) // q)
-
-
 @dataclass
 class Index:
     """Windows and q-grams of a chunk of the benchmark."""
@@ -101,28 +98,30 @@ class Index:
     owner: np.ndarray  # item number of each place in flat
     base: np.ndarray  # where each item begins in flat
     ids: np.ndarray
+    upto: np.ndarray  # windows before each item's, one entry more
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str], q: int, window: int, stride: int) -> Index:
         flat, at = characters(texts)
-        item, begin, size = [], [], []
+        begin, size, many = [np.zeros(0, np.int64)], [], np.zeros(len(ids), np.int64)
         for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
             m = min(window, b - a)
             if m < q:
                 continue
-            for s in sorted({*range(a, b - m + 1, stride), b - m}):
-                item.append(i)
-                begin.append(s)
-                size.append(m)
+            places = np.arange(a, b - m + 1, stride)
+            begin.append(places if places[-1] == b - m else np.append(places, b - m))
+            many[i] = len(begin[-1])
+            size.append(np.full(many[i], m))
         owner = np.repeat(np.arange(len(ids)), np.diff(at))
         grams = qgrams(flat, q)
         place = np.flatnonzero(owner[:len(grams)] == owner[q - 1:q - 1 + len(grams)]) if len(grams) else np.zeros(0, np.int64)
         order = place[np.argsort(grams[place], kind="stable")] if len(place) else place
-        return cls(q, flat, np.array(item, np.int64), np.array(begin, np.int64), np.array(size, np.int64),
-                   grams[order] if len(order) else np.zeros(0, np.uint64), order, owner, at[:-1], np.array(ids, np.int64))
+        return cls(q, flat, np.repeat(np.arange(len(ids)), many), np.concatenate(begin),
+                   np.concatenate([np.zeros(0, np.int64), *size]), grams[order] if len(order) else np.zeros(0, np.uint64),
+                   order, owner, at[:-1], np.array(ids, np.int64), np.concatenate([[0], np.cumsum(many)]))
 
     def __post_init__(self) -> None:
-        self.budget = np.array([_budget(int(m), self.q) for m in self.size], np.int64)
+        self.budget = np.minimum(self.size // CHARS_PER_EDIT, (self.size - self.q) // self.q)
         self.bound = self.size - self.q + 1 - self.budget * self.q
         self.mark = np.zeros(1 << MARK_BITS, bool)
         self.mark[(mixed(self.grams) >> np.uint64(64 - MARK_BITS)).astype(np.int64)] = True
@@ -175,7 +174,7 @@ class Index:
             for s, e in zip(start.tolist(), stop.tolist(), strict=True):
                 if e - s < least:
                     continue
-                w = np.flatnonzero(self.item == b[s])
+                w = np.arange(self.upto[b[s]], self.upto[b[s] + 1])
                 if e - s < self.bound[w].min(initial=1 << 30):
                     continue
                 mine = np.unique(d[s:e])
@@ -190,7 +189,12 @@ class Index:
         for a in range(0, len(windows), 4096):
             part = windows[a:a + 4096]
             doc, k, low = (np.array(x, np.int64) for x in zip(*part, strict=True))
-            edits, start, end = self._align(flat, at[doc], at[doc + 1], k, low, width)
+            start = self._verbatim(flat, at[doc], at[doc + 1], k, low, width)
+            edits, end = np.zeros(len(k), np.int64), start + self.size[k]
+            rest = np.flatnonzero(start < 0)
+            if len(rest):
+                edits[rest], start[rest], end[rest] = self._align(
+                    flat, at[doc[rest]], at[doc[rest] + 1], k[rest], low[rest], width)
             for t in np.flatnonzero(edits <= self.budget[k]).tolist():
                 out.setdefault((int(doc[t]), int(self.item[k[t]])), []).append((int(start[t]), int(end[t]), int(edits[t])))
         regions = []
@@ -206,6 +210,22 @@ class Index:
             regions.append((doc, item, a, b, e))
         return [(d, i, a - int(at[d]), b - int(at[d]), e) for d, i, a, b, e in regions]
 
+    def _verbatim(self, flat: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
+        """Where each window stands letter by letter on the first such diagonal of those that
+        ``_align`` tries, -1 if on none."""
+        budget, m = int(self.budget.max()), self.size[k]
+        out = np.full(len(k), -1, np.int64)
+        for c in range(width + 2 * budget):
+            first = self.begin[k] + low - budget + c
+            live = np.flatnonzero((out < 0) & (first >= lo) & (first + m <= hi))
+            for r in range(int(m.max())):
+                here = r < m[live]
+                live = live[~here | (flat[np.where(here, first[live] + r, 0)] == self.flat[np.where(here, self.begin[k[live]] + r, 0)])]
+                if not len(live):
+                    break
+            out[live] = first[live]
+        return out
+
     def _align(self, flat: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, low: np.ndarray, width: int):
         """Least edits of each window against its band of the text; where that match lies.
 

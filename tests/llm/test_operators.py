@@ -321,6 +321,18 @@ def test_decontamination_by_edits(spark):
     assert decontam.regions(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_passages_from_any_place(spark):
+    item = prose(21, 60)[:200]
+    rows = [(n * 1000 + s, f"{prose(s, 9)} #{item[s:s + n]}# {prose(s + 1, 9)}") for n in (76, 80, 90) for s in range(0, 200 - n, 3)]
+    docs = spark.createDataFrame([*rows, (1, item[30:100])], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = {f["doc_id"]: (f["start"], f["end"]) for f in decontam.regions(spark, docs, bench).collect()}
+    assert found.keys() == {d for d, _ in rows}
+    for d, t in rows:
+        a = t.index("#") + 1
+        assert found[d][0] <= a + 4 and found[d][1] >= a + d // 1000 - 4
+
+
 def judged(url):
     host = path = ""
     if url and "://" in url:
