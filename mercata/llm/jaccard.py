@@ -2,8 +2,8 @@
 document by n-gram incidence matrix with itself.
 
 1. Every document gives its set of n-gram hashes; documents with the same set are one row of the
-   matrix. How often n-grams occur is counted in a table of hashed counters of fixed size, which
-   only serves to order columns: frequent ones last, else by hash.
+   matrix. How often n-grams occur is counted in a table of hashed counters, one per 64 n-grams
+   within COUNTER_BITS, which only serves to order columns: frequent ones last, else by hash.
 2. Leading columns. A linked pair of rows has so large an overlap, given their sizes, that it
    shares at least SHARED of the first columns of either row (or its whole overlap, if smaller).
    The product is taken over those first: a column with up to SMALL rows adds its pairs, whose
@@ -41,7 +41,7 @@ LEAST = 85  # percent
 SHARED = 4
 SMALL = 128
 BLOCK = 256
-COUNTER_BITS = 22  # four megabytes of levels are all that is broadcast
+COUNTER_BITS = (22, 26)  # a byte of levels for each counter is all that is broadcast
 CHUNK_BITS = 14
 ROWS = "doc_id bigint, row bigint, size int, chunk int, counts binary"
 
@@ -75,53 +75,63 @@ def _plain(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
 
-def _rows(docs: DataFrame, n: int) -> DataFrame:
+def counter_bits(size: int) -> int:
+    """For texts of so many bytes, about six a word."""
+    least, most = COUNTER_BITS
+    return min(max(least, (size // (6 * 64)).bit_length()), most)
+
+
+def _rows(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """A row per document, and per task the counters of its n-grams, cut into chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << COUNTER_BITS, np.uint32)
+        counters = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
                 own = sets(part, n)
                 if own:
-                    places = (np.concatenate(own) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-                    counters += np.bincount(places, minlength=len(counters)).astype(np.uint32)
+                    places, often = np.unique(np.concatenate(own) >> np.uint64(64 - bits), return_counts=True)
+                    counters[places.astype(np.int64)] += often.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays([
                     part["doc_id"], pa.array([row_of(s) if len(s) else None for s in own], pa.int64()),
                     pa.array([len(s) for s in own], pa.int32()), pa.nulls(len(own), pa.int32()),
                     pa.nulls(len(own), pa.binary())], ["doc_id", "row", "size", "chunk", "counts"])
         chunks = counters.reshape(-1, 1 << CHUNK_BITS)
-        used = np.flatnonzero(chunks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(len(used), k) for k in (pa.int64(), pa.int64(), pa.int32())), pa.array(used.astype(np.int32)),
-            pa.array([zlib.compress(chunks[i].tobytes(), 1) for i in used], pa.binary())],
-            ["doc_id", "row", "size", "chunk", "counts"])
+        every = np.flatnonzero(chunks.any(axis=1))
+        for a in range(0, len(every), 256):
+            used = every[a:a + 256]
+            yield pa.RecordBatch.from_arrays([
+                *(pa.nulls(len(used), k) for k in (pa.int64(), pa.int64(), pa.int32())), pa.array(used.astype(np.int32)),
+                pa.array([zlib.compress(chunks[i].tobytes(), 1) for i in used], pa.binary())],
+                ["doc_id", "row", "size", "chunk", "counts"])
 
     return docs.mapInArrow(run, ROWS)
 
 
-def _levels(rows: DataFrame) -> np.ndarray:
+def _levels(rows: DataFrame, bits: int) -> np.ndarray:
     """Level of each counter: 0 up to what chance gives it, then one more per quarter of an octave."""
+    mean = (rows.agg(F.sum("size")).first()[0] or 0) / (1 << bits)
+    base = mean + 4 * mean ** 0.5 + 4
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch["chunk"].to_pylist(), batch["counts"].to_pylist(), strict=True):
                 sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.int64)
+        levels = [np.clip(np.floor(4 * np.log2(np.maximum(s, 1) / base)) + 1, 0, 255).astype(np.uint8) for s in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                          pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "sums"])
+                                          pa.array([x.tobytes() for x in levels], pa.binary())], ["chunk", "levels"])
 
-    total = np.zeros(1 << COUNTER_BITS, np.int64)
+    out = np.zeros(1 << bits, np.uint8)
     for r in (rows.where("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk")
-              .mapInArrow(run, "chunk int, sums binary").collect()):  # fixed: 2 ** COUNTER_BITS numbers
+              .mapInArrow(run, "chunk int, levels binary").collect()):  # 2 ** bits bytes
         a = r["chunk"] << CHUNK_BITS
-        total[a:a + (1 << CHUNK_BITS)] = np.frombuffer(r["sums"], np.int64)
-    mean = float(total.mean())
-    base = mean + 4 * mean ** 0.5 + 4
-    return np.clip(np.floor(4 * np.log2(np.maximum(total, 1) / base)) + 1, 0, 255).astype(np.uint8)
+        out[a:a + (1 << CHUNK_BITS)] = np.frombuffer(r["levels"], np.uint8)
+    return out
 
 
 def _leading(spark: SparkSession, docs: DataFrame, levels: np.ndarray, n: int, least: int, shared: int) -> DataFrame:
     """(gram, row, size) of each row's leading columns; copies within a task once."""
-    sent = spark.sparkContext.broadcast(levels)
+    sent, bits = spark.sparkContext.broadcast(levels), len(levels).bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = sent.value, set()
@@ -133,7 +143,7 @@ def _leading(spark: SparkSession, docs: DataFrame, levels: np.ndarray, n: int, l
                         continue
                     seen.add(name)
                     first = min(len(s), len(s) - -(-least * len(s) // 100) + shared)
-                    order = np.lexsort((s, level[(s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))
+                    order = np.lexsort((s, level[(s >> np.uint64(64 - bits)).astype(np.int64)]))
                     # Within a level by other bits than those that pick the counter.
                     found.append(s[order[:first]])
                     names.append(name)
@@ -189,30 +199,31 @@ def forest(names: np.ndarray, grams: list[np.ndarray], own: int, least: int) ->
     return names[moved], label[moved]
 
 
+def attached(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Each row's set once, with its block; a repeated row, or another text of the same id, is left out."""
+    seen: set[int] = set()
+    for batch in batches:
+        for part in slices(batch, "text"):
+            rows, labels, owns, many, data = [], [], [], [], []
+            for s, row, label, blocks in zip(sets(part, n), part["row"].to_pylist(), part["label"].to_pylist(),
+                                             part["blocks"].to_pylist(), strict=True):
+                if row in seen or row_of(s) != row:
+                    continue
+                seen.add(row)
+                rows.append(row)
+                labels.append(label)
+                owns.append(int(mixed(np.array([row], np.int64).view(np.uint64))[0] % np.uint64(blocks)))
+                many.append(blocks)
+                data.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(labels, pa.int64()), pa.array(owns, pa.int32()), pa.array(many, pa.int32()),
+                pa.array(rows, pa.int64()), pa.array(data, pa.binary())], ["label", "own", "blocks", "row", "grams"])
+
+
 def _links(members: DataFrame, docs: DataFrame, n: int, least: int, block: int) -> DataFrame:
     """Links within groups. ``members``: doc_id, row, label of the group, rows of the group."""
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows, labels, turns, firsts, seconds, data = [], [], [], [], [], []
-                for s, row, label, blocks in zip(sets(part, n), part["row"].to_pylist(), part["label"].to_pylist(),
-                                                 part["blocks"].to_pylist(), strict=True):
-                    if row in seen or row_of(s) != row:  # a repeated row, or another text of the same id
-                        continue
-                    seen.add(row)
-                    own = int(mixed(np.array([row], np.int64).view(np.uint64))[0] % np.uint64(blocks))
-                    for other in range(blocks):
-                        rows.append(row)
-                        labels.append(label)
-                        firsts.append(min(own, other))
-                        seconds.append(max(own, other))
-                        turns.append(int(own > other))
-                        data.append(s.tobytes())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(labels, pa.int64()), pa.array(firsts, pa.int32()), pa.array(seconds, pa.int32()),
-                    pa.array(turns, pa.int32()), pa.array(rows, pa.int64()), pa.array(data, pa.binary())],
-                    ["label", "i", "j", "turn", "row", "grams"])
+        return attached(batches, n)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -237,7 +248,11 @@ def _links(members: DataFrame, docs: DataFrame, n: int, least: int, block: int)
     texts = (docs.join(members.withColumn("blocks", F.ceil(F.col("rows") / block).cast("int"))
                        .withColumnRenamed("doc_id", "__doc"), F.col("doc_id") == F.col("__doc"))
              .select("doc_id", "text", "row", "label", "blocks"))
-    return (texts.mapInArrow(attach, "label bigint, i int, j int, turn int, row bigint, grams binary")
+    # Spark sends a row to every pair of its block, one at a time.
+    return (texts.mapInArrow(attach, "label bigint, own int, blocks int, row bigint, grams binary")
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                    (F.col("own") > F.col("other")).cast("int").alias("turn"), "row", "grams")
             .repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "turn", "row")
             .mapInArrow(multiply, "a bigint, b bigint"))
 
@@ -246,10 +261,12 @@ def linked(spark: SparkSession, docs: DataFrame, scratch: str, key: str = "doc_i
            n: int = N, least: int = LEAST, shared: int = SHARED, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     plain = _plain(docs, key, text)
-    _rows(plain, n).write.mode("overwrite").parquet(f"{scratch}/rows")
+    size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = counter_bits(size)
+    _rows(plain, n, bits).write.mode("overwrite").parquet(f"{scratch}/rows")
     rows = spark.read.schema(ROWS).parquet(f"{scratch}/rows")
     own = rows.where("chunk IS NULL").select("doc_id", "row", "size")
-    _leading(spark, plain, _levels(rows), n, least, shared).write.mode("overwrite").parquet(f"{scratch}/leading")
+    _leading(spark, plain, _levels(rows, bits), n, least, shared).write.mode("overwrite").parquet(f"{scratch}/leading")
     leading = spark.read.schema("gram bigint, row bigint, size int").parquet(f"{scratch}/leading")
     # Columns with two rows and more; copies that different tasks sent fall together here.
     many = leading.groupBy("gram").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high").select("gram")

@@ -256,6 +256,23 @@ def test_jaccard_of_a_large_group(spark, tmp_path):
     assert got == want and 1 < len({c for _, c in want.values()}) < 120
 
 
+def test_jaccard_holds_a_set_once_whatever_its_blocks():
+    text = [prose(i, 50) for i in range(20)]
+    own = jaccard.sets(pa.record_batch({"text": text}), 4)
+    part = pa.record_batch({"text": text, "row": [jaccard.row_of(s) for s in own], "label": pa.array([1] * 20, pa.int64()),
+                            "blocks": pa.array([500] * 20, pa.int32())})
+    out = list(jaccard.attached(iter([part, part]), 4))
+    assert sum(b.num_rows for b in out) == 20 and sum(b.nbytes for b in out) < 2 * sum(s.nbytes for s in own)
+
+
+def test_jaccard_has_counters_by_the_size_of_the_texts(spark, odd, tmp_path, monkeypatch):
+    gb = 2**30
+    assert [jaccard.counter_bits(x) for x in (0, gb // 2, 4 * gb, 10**15)] == [22, 22, 24, 26]
+    monkeypatch.setattr(jaccard, "counter_bits", lambda size: 24)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked(spark, odd, str(tmp_path)).collect()}
+    assert got == brute.jaccard(texts(odd))
+
+
 def test_components(spark, tmp_path):
     r = random.Random(2)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
