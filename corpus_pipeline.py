@@ -4,9 +4,10 @@ Quality rules, near-duplicate removal by n-gram Jaccard similarity, benchmark de
 masking of secrets, packing into token sequences. Each stage works on what the one before kept;
 all but the last return the columns of ``documents``.
 
-Repeated rows (same id and text) stay once from the second stage on. Rows with a NULL id have no
-near duplicates, but share one fate in the third stage, which knows documents by their id. NULL and
-empty texts fail the quality rules. Empty tables give empty results; other columns are carried along.
+Repeated rows (same id and text) stay once from the second stage on. The first three stages judge
+rows by their text, so that rows which share an id, or have none, do not share a fate; a NULL id comes
+after all others. Rows are told apart by 64 bits of a hash. NULL and empty texts fail the quality
+rules. Empty tables give empty results; other columns are carried along.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from mercata.session import scratch_folder
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Documents whose id is (or is not) among the keys; columns and their order stay."""
-    named = keys.select(F.col("doc_id").alias("__key"))
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["__key"]), how)
+def _keyed(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
+    """Documents with a hash of these columns, NULLs included, and its name, longer than all others."""
+    name = "_" * (1 + max(map(len, docs.columns)))
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return docs.withColumn(name, F.xxhash64(*parts)), name
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,15 +39,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    linked = jaccard.linked(spark, docs, scratch_folder(spark, "pipeline-jaccard"))
-    return _only(docs, linked.where("doc_id <> component_id"), "left_anti").dropDuplicates(["doc_id", "text"])
+    """One row of each group of near duplicates: the one with the smallest id, then hash."""
+    keyed, key = _keyed(docs, "doc_id", "text")
+    linked = jaccard.linked(spark, keyed, scratch_folder(spark, "pipeline-jaccard"), key=key)
+    # Repeated rows have one key.
+    of = linked.select(F.col("doc_id").alias(key), "component_id").distinct()
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))
+    kept = (of.join(keyed.select(key, "doc_id").distinct(), key).groupBy("component_id")
+            .agg(F.min(rank).alias("least")).select(F.col("least.key").alias(key)))
+    return keyed.join(kept, key, "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a region of a benchmark item."""
+    """Rows whose text has no region of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _only(docs, decontam.regions(spark, docs, benchmark).select("doc_id").distinct(), "left_anti")
+    keyed, key = _keyed(docs, "text")
+    found = decontam.regions(spark, keyed, benchmark, key=key).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

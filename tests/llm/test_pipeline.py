@@ -130,3 +130,19 @@ def test_stages(spark, folder):
     whole = corpus_pipeline.run(spark, sf)
     assert {(r[0], r[1]) for r in whole.select("doc_id", "doc_tokens").collect()} == {
         (r[0], len(ids_of(r[1]))) for r in last}
+
+
+def test_rows_that_share_an_id_do_not_share_a_fate(spark, tmp_path):
+    copy = prose(71, 60)
+    near = copy + " end"
+    rows = [(None, prose(72, 30)), (None, f"{prose(73, 20)} {LEAKED}"), (None, copy), (None, near), (1, prose(74, 30)),
+            (1, f"{LEAKED} {prose(75, 20)}"), (1, copy), (2, near), (2, prose(76, 30)), (2, prose(76, 30)), (3, prose(77, 30))]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, other int").repartition(3)
+    spark.createDataFrame([(1, LEAKED)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = lambda df: sorted(((r[0], r[1]) for r in df.collect()), key=str)
+    once = corpus_pipeline.jaccard_stage(spark, docs, str(tmp_path))
+    assert once.columns == docs.columns
+    assert texts(once) == sorted({r for r in rows if r not in ((None, copy), (None, near), (2, near))}, key=str)
+    clean = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert texts(clean) == sorted((r for r in rows if LEAKED not in r[1]), key=str)
