@@ -16,8 +16,10 @@ edits; items shorter than a window are one. So, per task and slice of documents:
 
 Characters are code points, A-Z and accented Latin letters in lower case, blanks alike. Items
 shorter than q have no q-gram and are never found; NULL texts are empty. Repeated documents and
-items each count. The benchmark is taken in chunks of at most CHUNK_CHARS characters, sizes being
-summed first; each chunk is sent to the tasks and needs one pass over the documents.
+items each count. The benchmark is taken in chunks of at most CHUNK_CHARS characters; each chunk is
+sent to the tasks and needs one pass over the documents. Equal texts of items are searched once and
+told apart by 64 bits of a hash; longer texts are cut into parts that share all but one character of
+a window, so that a window is in one part, and regions of parts that touch are put together again.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercata.llm.tokens import slices
@@ -40,7 +43,9 @@ CHARS_PER_EDIT = 20  # a budget of 5 percent
 CHUNK_CHARS = 1_000_000
 SLICE = 1 << 20  # bytes of text that a task handles at once
 MARK_BITS = 22
-REGIONS = "doc_id bigint, item_id bigint, start bigint, end bigint, edits int"
+PARTS = 16  # a part of an item has at most this share of a chunk, or a window
+BUCKETS = 64  # for each chunk; neighbours are put together as far as they fit
+REGIONS = "doc_id bigint, doc bigint, item bigint, part int, start bigint, end bigint, edits int"
 
 
 def _letters() -> np.ndarray:
@@ -272,29 +277,82 @@ def regions(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str
     """doc_id, item_id, start, end (code points, end exclusive), edits (the most of a window)."""
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
-    chunks = -(-total // chunk_chars) or 1
+    items = items.where(F.char_length("text") >= q).withColumn("item", F.xxhash64("text"))
+    parts, step = _parts(items, window, stride, chunk_chars)
     out = None
-    for c in range(chunks):
-        # A chunk has about chunk_chars characters: items are dealt to chunks by their hash.
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == c).orderBy("item_id", "text").collect()
-        sent = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+    for low, high in _chunks(parts, chunk_chars):
+        rows = parts.where(F.col("bucket").between(low, high)).orderBy("item", "part").select("item", "part", "text").collect()
+        sent = spark.sparkContext.broadcast(([(r["item"], r["part"]) for r in rows], [r["text"] for r in rows]))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, texts = sent.value
-            index = Index.of([i or 0 for i in ids], texts, q, window, stride)
+            index = Index.of(list(range(len(ids))), texts, q, window, stride)
             for batch in batches:
                 for part in slices(batch, "text", SLICE):
-                    names = part["doc_id"].to_pylist()
-                    flat, at = characters([t or "" for t in part["text"].to_pylist()])
+                    names, own = part["doc_id"].to_pylist(), part["text"].to_pylist()
+                    flat, at = characters([t or "" for t in own])
                     found = index.regions(flat, at)
                     if found:
                         yield pa.RecordBatch.from_arrays([
                             pa.array([names[f[0]] for f in found], pa.int64()),
-                            pa.array([ids[f[1]] for f in found], pa.int64()),
+                            pa.array([_named(own[f[0]]) for f in found], pa.int64()),
+                            pa.array([ids[f[1]][0] for f in found], pa.int64()),
+                            pa.array([ids[f[1]][1] for f in found], pa.int32()),
                             pa.array([f[2] for f in found], pa.int64()), pa.array([f[3] for f in found], pa.int64()),
-                            pa.array([f[4] for f in found], pa.int32())], ["doc_id", "item_id", "start", "end", "edits"])
+                            pa.array([f[4] for f in found], pa.int32())],
+                            ["doc_id", "doc", "item", "part", "start", "end", "edits"])
 
         part = plain.mapInArrow(run, REGIONS)
         out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], REGIONS)
+    if parts.where("part > 0").limit(1).count():
+        out = _whole(out, F.col("length") > window - 1 + step, items.groupBy("item").agg(F.max(F.char_length("text")).alias("length")))
+    return out.join(items.select("item_id", "item"), "item").select("doc_id", "item_id", "start", "end", "edits")
+
+
+def _named(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
+
+
+def _parts(items: DataFrame, window: int, stride: int, chunk_chars: int) -> tuple[DataFrame, int]:
+    """(item, part, text, bucket) of distinct texts; how far the beginnings of parts are apart."""
+    step = -(-max(chunk_chars // PARTS - window, window) // stride) * stride
+    size = F.char_length("text")
+    total = items.select("item", "text").dropDuplicates(["item"])
+    at = total.select("item", "text", F.posexplode(F.sequence(F.lit(0), F.greatest(size - window, F.lit(0)), F.lit(step))))
+    parts = at.select("item", F.col("pos").alias("part"),
+                      F.col("text").substr(F.col("col") + 1, F.lit(step + window - 1)).alias("text"))
+    chars = parts.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
+    buckets = BUCKETS * (-(-chars // chunk_chars) or 1)
+    return parts.withColumn("bucket", F.pmod(F.xxhash64("item", "part"), F.lit(buckets))), step
+
+
+def _chunks(parts: DataFrame, chunk_chars: int) -> list[tuple[int, int]]:
+    """First and last bucket of each chunk; one bucket alone is chunk_chars / BUCKETS on average."""
+    out, have = [], 0
+    for r in parts.groupBy("bucket").agg(F.sum(F.char_length("text")).alias("chars")).orderBy("bucket").collect():
+        if out and have + r["chars"] <= chunk_chars:
+            out[-1], have = (out[-1][0], r["bucket"]), have + r["chars"]
+        else:
+            out.append((r["bucket"], r["bucket"]))
+            have = r["chars"]
     return out
+
+
+def _whole(found: DataFrame, cut: Column, lengths: DataFrame) -> DataFrame:
+    """Regions of the parts of one item that touch as one. Copies of a document have equal regions,
+    so each is counted and given as often again."""
+    named = found.join(lengths, "item")
+    spans = (named.where(cut).groupBy("doc_id", "doc", "item", "part", "start", "end", "edits")
+             .agg(F.count("*").alias("copies")))
+    upto = Window.partitionBy("doc_id", "doc", "item").orderBy("start", "end", "part")
+    before = F.max("end").over(upto.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("new", F.coalesce((F.col("start") > before).cast("int"), F.lit(1)))
+    spans = spans.withColumn("number", F.sum("new").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = (spans.groupBy("doc_id", "doc", "item", "number")
+              .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("edits").alias("edits"),
+                   F.max("copies").alias("copies"))
+              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
+    columns = ["doc_id", "item", "start", "end", "edits"]
+    return named.where(~cut).select(columns).unionByName(joined.select(columns))

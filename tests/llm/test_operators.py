@@ -350,6 +350,21 @@ def test_decontamination_of_passages_from_any_place(spark):
         assert found[d][0] <= a + 4 and found[d][1] >= a + d // 1000 - 4
 
 
+def test_decontamination_chunks_have_a_bound(spark):
+    long, items = prose(22, 500)[:1500], [(i, prose(40 + i, 30)[:100]) for i in range(4)]
+    bench = spark.createDataFrame([*items, (8, items[0][1]), (9, items[0][1]), (10, long), (11, long)], "item_id bigint, text string")
+    passages = [long, long[130:300], f"{long[:90]} {prose(9, 20)} {long[700:800]}", long[155:235], items[0][1], items[3][1], "none"]
+    rows = [(i % 6, f"{prose(i, 9)} {p} {prose(i + 1, 9)}") for i, p in enumerate(passages)]
+    rows += [rows[0], rows[0], (None, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = lambda c: sorted(map(tuple, decontam.regions(spark, docs, bench, chunk_chars=c).collect()), key=str)
+    assert found(400) == found(1_000_000) and sum(f[1] == 10 for f in found(400)) == 3 + 2 + 2 + 1
+    keyed = bench.selectExpr("*", "xxhash64(text) AS item")
+    parts, _ = decontam._parts(keyed, 80, 1, 400)
+    for low, high in decontam._chunks(parts, 400):
+        assert sum(len(r["text"]) for r in parts.where(f"bucket BETWEEN {low} AND {high}").collect()) <= 400
+
+
 def judged(url):
     host = path = ""
     if url and "://" in url:
