@@ -156,6 +156,21 @@ reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.y FROM
 SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(other) AS component_id
 FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id"""
 
+INFILL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+           FROM documents),
+h AS (SELECT doc_id, t, n, CAST('0x' || x[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || x[9:16] AS BIGINT) % (n + 1) AS b,
+      CAST('0x' || x[17:24] AS BIGINT) % 100 AS c, CAST('0x' || x[25:32] AS BIGINT) % 100 AS e FROM d),
+p AS (SELECT doc_id, t, n, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90
+      THEN 'plain' WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form, least(a, b) AS i, greatest(a, b) AS j FROM h),
+o AS (SELECT *, substr(t, 1, i) AS prefix, substr(t, i + 1, j - i) AS middle, substr(t, j + 1) AS suffix FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+           ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM o"""
+
 SQL: dict[str, str] = {
     "op1_secret_scan": _secret_scan(),
     "op2_substring_dedup": SUBSTRINGS,
@@ -164,4 +179,5 @@ SQL: dict[str, str] = {
     "op7_token_rollups": _rollups(),
     "op8_quality_rules": QUALITY,
     "op9_ngram_jaccard": JACCARD,
+    "op12_fill_in_middle": INFILL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.llm import (decontam, jaccard, packing, quality, rans, revisits, rollups, secrets,
+from mercata.llm import (decontam, infill, jaccard, packing, quality, rans, revisits, rollups, secrets,
                          substring, tokens, urlfilter)
 from mercata.session import scratch_folder
 
@@ -105,6 +105,13 @@ def benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.regions(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return infill.transformed(table(spark, sf, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+        sha(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_substring_dedup": substring_dedup,
@@ -116,4 +123,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules,
     "op9_ngram_jaccard": ngram_jaccard,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op12_fill_in_middle": fill_in_middle,
 }
