@@ -30,9 +30,3 @@ def frame(spark):
         data = [tuple(None if v is None else str(v) for v in r) for r in rows]
         return spark.createDataFrame(data, ", ".join(text)).selectExpr(*casts)
     return make
-
-
-def got(df, *columns):
-    """Rows of a frame as a sorted list of tuples."""
-    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))

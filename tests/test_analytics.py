@@ -3,7 +3,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from conftest import got
+from frames import got
 from mercata.operators import analytics as a
 
 SESSIONS = ("session_id STRING, customer_id STRING, session_date DATE, traffic_source STRING, "

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import got
+from frames import got
 from mercata.functions import grounding as g
 from mercata.operators import budget as b
 

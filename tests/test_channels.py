@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import got
+from frames import got
 from mercata.operators import channels as ch
 from mercata.operators.keys import dense_ids
 

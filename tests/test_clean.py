@@ -1,6 +1,6 @@
 from decimal import Decimal as D
 
-from conftest import got
+from frames import got
 from mercata.operators import clean
 
 

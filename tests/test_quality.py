@@ -1,4 +1,4 @@
-from conftest import got
+from frames import got
 from mercata.operators import quality as q
 
 

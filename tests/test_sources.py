@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from conftest import got
+from frames import got
 from mercata.plans import testbed
 from mercata.session import scratch_folder
 from mercata.sources import readers, writers

@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import got
+from frames import got
 from mercata.operators import attribution as at
 from mercata.operators import touchpoints as tp
 

@@ -3,7 +3,7 @@
 from decimal import Decimal as D
 
 import pytest
-from conftest import got
+from frames import got
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
