@@ -11,6 +11,7 @@ from mercata.llm.rollups import PATTERNS
 from mercata.llm.secrets import RULES
 from mercata.llm.urlfilter import LOWER, SITES, UPPER
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -171,6 +172,21 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars,
     sha256(t) AS restored_sha256
 FROM o"""
 
+SEARCH = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS words FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM d) GROUP BY doc_id, term),
+c AS (SELECT count(*) AS n, CAST(sum(len(words)) AS BIGINT) AS l FROM d WHERE len(words) > 0),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS term
+      FROM benchmark),
+w AS (SELECT item_id, term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM q JOIN f USING (term), c),
+m AS (SELECT doc_id, 50 + (50 * len(words) * n) // l AS m FROM d, c WHERE len(words) > 0),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM w JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+
 SQL: dict[str, str] = {
     "op1_secret_scan": _secret_scan(),
     "op2_substring_dedup": SUBSTRINGS,
@@ -180,4 +196,5 @@ SQL: dict[str, str] = {
     "op8_quality_rules": QUALITY,
     "op9_ngram_jaccard": JACCARD,
     "op12_fill_in_middle": INFILL,
+    "op13_ranked_search": SEARCH,
 }

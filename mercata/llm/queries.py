@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm import (decontam, infill, jaccard, packing, quality, rans, revisits, rollups, secrets,
-                         substring, tokens, urlfilter)
+                         substring, tokens, treap, urlfilter)
 from mercata.session import scratch_folder
 
 END = 2
@@ -112,6 +112,10 @@ def fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
         sha(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
 
 
+def ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return treap.ranked(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"), scratch_folder(spark, "treap"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_substring_dedup": substring_dedup,
@@ -124,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard": ngram_jaccard,
     "op10_benchmark_decontamination": benchmark_decontamination,
     "op12_fill_in_middle": fill_in_middle,
+    "op13_ranked_search": ranked_search,
 }
