@@ -143,11 +143,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          OR (n_words >= 100 AND stops / n_words < 0.01)) AS kept
 FROM b"""
 
-JACCARD = rf"""
+def _jaccard(n: int) -> str:
+    return rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
                                                        '[^\x20\x09-\x0D]+') AS words FROM documents),
-grams AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS gram FROM
-    (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words), 1) + 1))) AS i FROM w)),
+grams AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(words[i:i + {n - 1}], ' ') AS gram FROM
+    (SELECT doc_id, words, unnest(range(1, greatest(len(words) - {n - 2}, least(len(words), 1) + 1))) AS i FROM w)),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b
            ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
@@ -194,7 +195,8 @@ SQL: dict[str, str] = {
     "op5_url_filter": _url_filter(),
     "op7_token_rollups": _rollups(),
     "op8_quality_rules": QUALITY,
-    "op9_ngram_jaccard": JACCARD,
+    "op9_ngram_jaccard": _jaccard(4),
+    "op11_near_copies": f"SELECT *, doc_id = component_id AS kept FROM ({_jaccard(3)})",
     "op12_fill_in_middle": INFILL,
     "op13_ranked_search": SEARCH,
 }

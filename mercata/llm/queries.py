@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.llm import (decontam, infill, jaccard, packing, quality, rans, revisits, rollups, secrets,
+from mercata.llm import (decontam, hyperminhash, infill, jaccard, packing, quality, rans, revisits, rollups, secrets,
                          substring, tokens, treap, urlfilter)
 from mercata.session import scratch_folder
 
@@ -105,6 +105,10 @@ def benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.regions(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    return hyperminhash.linked(spark, table(spark, sf, "documents"), scratch_folder(spark, "hyperminhash"))
+
+
 def fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     return infill.transformed(table(spark, sf, "documents")).select(
@@ -127,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules,
     "op9_ngram_jaccard": ngram_jaccard,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_near_copies": near_copies,
     "op12_fill_in_middle": fill_in_middle,
     "op13_ranked_search": ranked_search,
 }
