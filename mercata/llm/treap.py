@@ -41,8 +41,8 @@ from mercata.llm.tokens import slices
 from mercata.llm.words import fresh, split
 
 TOP = 50
-SHARD_BYTES = 16 << 20
-SHARD_DOCS = 8192
+SHARD_BYTES = 6 << 20
+SHARD_DOCS = 4096
 BAND = 3  # rows of a band, as a power of 2
 RANGE = 6  # documents of the ranges that are ordered, as a power of 2
 BLOCK_TERMS = 16_384  # terms of the items of a block
@@ -94,7 +94,7 @@ class Postings:
         row = np.repeat(np.arange(len(lengths)), lengths)
         key, often = np.unique(row * max(len(words), 1) + codes, return_counts=True)
         doc, code = np.divmod(key, max(len(words), 1))
-        self.parts.append((code + self.known, doc + self.docs, often, lengths))
+        self.parts.append(((code + self.known).astype(np.int32), (doc + self.docs).astype(np.int32), often.astype(np.int32), lengths))
         self.ids.append(part["doc_id"])
         self.words.append(words)
         self.known += len(words)
@@ -108,7 +108,8 @@ class Postings:
         place[order] = np.arange(len(order))
         coded = pa.chunked_array(self.words).combine_chunks().dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[np.concatenate([p[0] for p in self.parts])]
-        doc, often, lengths = (np.concatenate([p[k] for p in self.parts]) for k in (1, 2, 3))
+        doc, often, lengths = (np.concatenate([p[k] for p in self.parts]).astype(np.int64) for k in (1, 2, 3))
+        self.parts = []
         factor = np.array([50 + 50 * n * n_docs // n_terms for n in lengths.tolist()], np.int64)
         impact = 1_000_000_000 * often // (1000 * often + 20 * factor[doc])
         counts = np.bincount(code, minlength=len(coded.dictionary))
