@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.functions.columns import channel_key, channel_type
-from mercata.operators.keys import ROWS_PER_SALT, dense_ids, join_by_key
+from mercata.operators.keys import ROWS_PER_SALT, first_seen_ids, join_by_key
+from mercata.session import scratch_folder
 
 # Spend multiplier per weekday, Monday first.
 WEEKDAY_MULTIPLIERS = (1.2, 1.2, 1.1, 1.1, 1.0, 0.7, 0.7)
@@ -18,18 +19,18 @@ def _named(events: DataFrame) -> DataFrame:
     return events.na.fill("unknown", ["traffic_source", "traffic_medium"])
 
 
-def channel_dimension(events: DataFrame) -> DataFrame:
-    """One row per lowered (source, medium): channel_id, channel_name, channel_type.
+def channel_dimension(events: DataFrame, order_by: Sequence[str], scratch: str | None = None) -> DataFrame:
+    """One row per lowered (source, medium): channel_id, channel_name, channel_type. Ids are 1..n in
+    the order in which channels first appear by ``order_by`` (the order of the file).
 
     Names are lowered before they are made distinct, so spellings that differ only
     in case are one channel and a join on the name never multiplies rows.
     """
-    pairs = (_named(events)
-             .select(F.lower("traffic_medium").alias("medium"),
-                     channel_key(F.col("traffic_source"), F.col("traffic_medium"))
-                     .alias("channel_name"))
-             .groupBy("channel_name").agg(F.min("medium").alias("medium")))
-    return dense_ids(pairs, "channel_name", "channel_id").select(
+    named = _named(events).select(
+        F.lower("traffic_medium").alias("medium"), *order_by,
+        channel_key(F.col("traffic_source"), F.col("traffic_medium")).alias("channel_name"))
+    return first_seen_ids(named, "channel_name", order_by, "channel_id",
+                          scratch or scratch_folder(events.sparkSession, "channels"), [F.min("medium").alias("medium")]).select(
         "channel_id", "channel_name", channel_type(F.col("medium")).alias("channel_type"))
 
 
@@ -122,12 +123,11 @@ def assign_campaign(daily: DataFrame, campaigns: DataFrame) -> DataFrame:
                     "spend_date", "amount"))
 
 
-def planned_ad_spend(events: DataFrame, campaigns: DataFrame, start: str, end: str,
+def planned_ad_spend(events: DataFrame, dimension: DataFrame, campaigns: DataFrame, start: str, end: str,
                      target_cac) -> DataFrame:
-    """Daily spend of every paid channel: the spend that buys its paying customers at
+    """Daily spend of every paid channel of ``dimension``: the spend that buys its paying customers at
     ``target_cac``, spread over the days by weekday and booked on the campaign active
     that day. Channels without a paying customer are not spent on."""
-    dimension = channel_dimension(events)
     totals = calibrated_spend(dimension, payers_by_channel(events), target_cac)
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
     curve = (totals.where("total_spend > 0")

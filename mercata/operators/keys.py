@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000  # rows of one key that one join group may hold
-_BUCKET_DIGITS = 3  # 16 ** 3 = 4096 buckets
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column],
@@ -23,6 +22,23 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column],
     return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
+COPIES = "_copies"
+
+
+def first_counted(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
+    """First row of each key by ``order_by`` (ascending, then by all columns), with the number of
+    the key's rows in COPIES and the sums of the columns ``sums`` over all of them.
+
+    An aggregate with a partial step: each input split sends one row of a key.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in sums]
+    order = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_by)])
+    first = F.min(F.struct(order.alias("_order"), F.struct(*rest).alias("_row"))).alias("_first")
+    return (df.groupBy(*keys).agg(first, F.count("*").alias(COPIES), *[F.sum(c).alias(c) for c in sums])
+            .select(*[c if c in keys else F.col(f"_first._row.{c}").alias(c) for c in df.columns if c not in sums],
+                    COPIES, *sums))
+
+
 def salts(rows: Column, rows_per_salt: int) -> Column:
     """Number of parts a key with this many rows is split into."""
     return F.ceil(rows / F.lit(rows_per_salt)).cast("int")
@@ -55,20 +71,25 @@ def join_by_key(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     return spread.join(copied, [key, "_salt"], how).drop("_salt")
 
 
-def dense_ids(df: DataFrame, key: str, id_name: str) -> DataFrame:
-    """Number the rows 1..n by (hash bucket of ``key``, ``key``); ``key`` is unique text.
+def first_seen_ids(df: DataFrame, key: str, position: Sequence[str], id_name: str, scratch: str,
+                   keep: Sequence[Column] = ()) -> DataFrame:
+    """Number the values of ``key`` 1..n in the order in which they first occur by ``position``.
 
-    Rows are ranked inside hash buckets in parallel. Only the bucket sizes, at most
-    4096 rows, meet in one task to become offsets. The hash is md5, so the ids do not
-    depend on partitioning and a recomputed task yields the same ones.
+    The least position of each value is found with a partial step, so an input split sends a row of
+    a value. The values are dealt in ranges of (position, key), numbered in each and written; the
+    sizes of the ranges, one row a partition, become offsets. The ids depend on the rows alone, not
+    on how they are partitioned, and ``df`` is computed once. ``keep`` are aggregates to carry along.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(key)), 1, _BUCKET_DIGITS))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket",
-                           F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    return (bucketed.withColumn("_rank", rank)
-            .join(F.broadcast(offsets), "_bucket")  # at most 4096 rows
-            .withColumn(id_name, (F.col("_offset") + F.col("_rank")).cast("int"))
-            .drop("_bucket", "_rank", "_offset"))
+    first = F.min(F.struct(*position)).alias("_first")
+    seen = df.groupBy(key).agg(first, *keep).repartitionByRange("_first", key).sortWithinPartitions("_first", key)
+    low_bits = (1 << 33) - 1  # the place within its partition
+    seen.select("*", F.spark_partition_id().alias("_range"),
+                F.monotonically_increasing_id().bitwiseAND(F.lit(low_bits)).alias("_place")) \
+        .drop("_first").write.mode("overwrite").parquet(scratch)
+    seen = df.sparkSession.read.parquet(scratch)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (seen.groupBy("_range").agg(F.count("*").alias("_size"))
+               .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")))
+    return (seen.join(F.broadcast(offsets), "_range")  # a row for each partition
+            .withColumn(id_name, (F.col("_offset") + F.col("_place") + 1).cast("int"))
+            .drop("_range", "_place", "_offset"))

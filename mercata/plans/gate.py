@@ -21,18 +21,22 @@ from mercata.sources import writers
 
 
 class Contract(NamedTuple):
-    """Columns, required columns, primary key, and references (column, table, its key)."""
+    """Columns, required columns, primary key, references (column, table, its key), and columns
+    that are unique besides the key."""
     schema: StructType
     required: tuple[str, ...]
     key: str | None = None
     references: tuple[tuple[str, str, str], ...] = ()
+    unique: tuple[str, ...] = ()
 
 
 # Required columns, keys and references of the marts, parents first.
 CONTRACTS = {
     "customers": Contract(schemas.CUSTOMERS, ("first_seen_date",), "customer_id"),
     "products": Contract(schemas.PRODUCTS, ("product_name", "base_price"), "product_id"),
-    "marketing_channels": Contract(schemas.CHANNELS, ("channel_name", "channel_type"), "channel_id"),
+    # Two channels of one name would multiply the rows of every join on it.
+    "marketing_channels": Contract(schemas.CHANNELS, ("channel_name", "channel_type"), "channel_id",
+                                   unique=("channel_name",)),
     "sessions": Contract(schemas.SESSIONS, ("customer_id", "session_date"), "session_id",
                          (("customer_id", "customers", "customer_id"),)),
     "campaigns": Contract(schemas.CAMPAIGNS,
@@ -54,20 +58,37 @@ CONTRACTS = {
 }
 
 
+# Tables made of the marts; a touchpoint may be on a channel that is not known.
+RESULT_CONTRACTS = {
+    "customer_touchpoints": Contract(
+        schemas.TOUCHPOINTS, ("customer_id", "order_id", "touchpoint_timestamp", "touchpoint_order"), None,
+        (("customer_id", "customers", "customer_id"), ("order_id", "orders", "order_id"),
+         ("channel_id", "marketing_channels", "channel_id"))),
+    "channel_attribution": Contract(schemas.CHANNEL_ATTRIBUTION, ("attribution_model",), None,
+                                    (("channel_id", "marketing_channels", "channel_id"),)),
+    "data_quality_log": Contract(schemas.QUALITY_LOG, ("run_timestamp", "check_name", "table_name", "status")),
+}
+
+
 class Gated(NamedTuple):
     loaded: dict[str, DataFrame]
     refused: dict[str, DataFrame]  # with ``reason``
 
 
-def gate(marts: Mapping[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame]) -> Gated:
-    """``keep(name, frame)`` writes a frame and returns it as read again: a mart is computed
-    once, and once more with the reason of each row."""
+def gate(tables: Mapping[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame],
+         contracts: Mapping[str, Contract] = CONTRACTS, parents: Mapping[str, DataFrame] | None = None) -> Gated:
+    """``keep(name, frame)`` writes a frame and returns it as read again: a table is computed
+    once, and once more with the reason of each row. ``parents`` are tables loaded before."""
     loaded, refused = {}, {}
-    for table, c in CONTRACTS.items():
-        rows = keep(f"{table}-candidates", writers.conform_schema(marts[table], c.schema))
+    for table, c in contracts.items():
+        if table not in tables:
+            continue
+        rows = keep(f"{table}-candidates", writers.conform_schema(tables[table], c.schema))
+        known = {**(parents or {}), **loaded}
         marked = keep(f"{table}-marked", quality.mark_violations(
-            rows, not_null=c.required, pk=c.key,
-            fks=[(column, loaded[parent], key) for column, parent, key in c.references]))
+            rows, not_null=c.required, pk=c.key, unique=c.unique,
+            fks=[(column, known[parent], key) for column, parent, key in c.references],
+            keep=lambda name, df, table=table: keep(f"{table}-{name}", df)))
         loaded[table] = marked.where("reason IS NULL").drop("reason")
         refused[table] = marked.where("reason IS NOT NULL")
     return Gated(loaded, refused)

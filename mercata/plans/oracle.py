@@ -12,6 +12,7 @@ from mercata.functions import grounding as g
 from mercata.operators import budget
 from mercata.plans import testbed as t
 from mercata.plans.catalog import FIRST_DAY, LAST_DAY
+from mercata.sources.readers import NULL_TEXTS
 
 
 def _list(values) -> str:
@@ -500,11 +501,19 @@ def build() -> dict[str, str]:
         q[key] = with_ctes(body, *ctes)
 
     # sources and sinks
+    kept = "event_id % 13 <> 0"
+    units = "COALESCE((SELECT SUM(1 + (event_id + i) % 3) FROM unnest(range(1, k % 3 + 1)) u(i)), 0)"
     add("scan_events_nested", f"""SELECT event_id, {DAY} AS event_date,
-        {MICROS.format('ts')} AS event_timestamp, event_name, user_pseudo_id, k % 3 AS n_items
-        FROM ev""", "ev")
-    add("scan_items_nested", f"""SELECT event_id, {DAY} AS event_date, event_name, k % 3 AS n_items
-        FROM ev WHERE event_name <> 'page_view'""", "ev")
+        {MICROS.format('ts')} AS event_timestamp, event_name, user_pseudo_id,
+        CASE WHEN {DAY} >= '20240115' THEN {_list(t.COUNTRIES)}[k % 4 + 1] END AS country, k % 3 AS n_items,
+        CAST({units} AS BIGINT) AS units
+        FROM ev WHERE {DAY} BETWEEN '20240108' AND '20240121' AND {kept}""", "ev")
+    add("scan_items_nested", f"""SELECT event_id, {DAY} AS event_date, event_name, k % 3 AS n_items,
+        CAST({units} AS BIGINT) AS units
+        FROM ev WHERE {DAY} BETWEEN '20240105' AND '20240118' AND {kept} AND event_name <> 'page_view'""", "ev")
+    add("read_csv_records", f"""SELECT doc_id, CASE WHEN lang NOT IN ({', '.join(map(_q, NULL_TEXTS))}) THEN lang END AS lang,
+        length(x) AS length, md5(x) AS digest
+        FROM (SELECT *, CASE WHEN text NOT IN ({', '.join(map(_q, NULL_TEXTS))}) THEN text END AS x FROM documents)""")
     add("read_csv_typed", f"SELECT {RAW_COLUMNS} FROM raw", "raw")
     add("read_columns", "SELECT o_orderkey, o_custkey FROM orders")
     add("read_view", """SELECT product_id, discount_pct, CAST(product_revenue AS DOUBLE)
@@ -617,12 +626,12 @@ def build() -> dict[str, str]:
         WHERE rn = 1""", "rspend")
 
     # channels and spend
-    add("channel_dimension", f"""SELECT CAST(ROW_NUMBER() OVER (
-        ORDER BY substr(md5(channel_name), 1, 3), channel_name) AS INTEGER) AS channel_id,
+    add("channel_dimension", f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY first) AS INTEGER) AS channel_id,
         channel_name, {TYPE_CASE} AS channel_type
-        FROM (SELECT DISTINCT lower(COALESCE(traffic_source, 'unknown') || ' / ' ||
-                                    COALESCE(traffic_medium, 'unknown')) AS channel_name,
-                     lower(COALESCE(traffic_medium, 'unknown')) AS medium FROM raw)""", "raw")
+        FROM (SELECT lower(COALESCE(traffic_source, 'unknown') || ' / ' ||
+                           COALESCE(traffic_medium, 'unknown')) AS channel_name,
+                     lower(COALESCE(traffic_medium, 'unknown')) AS medium, MIN(line_no) AS first
+              FROM raw GROUP BY 1, 2)""", "raw")
     add("channel_type", f"""SELECT event_id, {TYPE_CASE} AS channel_type
         FROM (SELECT event_id, lower(traffic_medium) AS medium FROM stg)""", "stg")
     add("paying_customers_by_channel", """SELECT COALESCE(traffic_source, 'unknown') AS source,
@@ -631,9 +640,8 @@ def build() -> dict[str, str]:
         FROM raw WHERE event_name = 'purchase' GROUP BY 1, 2""", "raw")
     add("calibrated_spend", f"""SELECT CAST(channel_id AS INTEGER) AS channel_id,
         CAST({t.TARGET_CAC} * n AS DOUBLE) AS total_spend
-        FROM (SELECT channel_name, {TYPE_CASE} AS channel_type, n, ROW_NUMBER() OVER (
-                  ORDER BY substr(md5(channel_name), 1, 3), channel_name) AS channel_id
-              FROM (SELECT lower(traffic_source || ' / ' || traffic_medium) AS channel_name,
+        FROM (SELECT channel_name, {TYPE_CASE} AS channel_type, n, ROW_NUMBER() OVER (ORDER BY first) AS channel_id
+              FROM (SELECT lower(traffic_source || ' / ' || traffic_medium) AS channel_name, MIN(event_id) AS first,
                            MIN(lower(traffic_medium)) AS medium, COUNT(DISTINCT
                            CASE WHEN event_name = 'purchase' THEN user_pseudo_id END) AS n
                     FROM stg GROUP BY 1))
@@ -659,10 +667,8 @@ def build() -> dict[str, str]:
         FROM (SELECT d, [1.2, 1.2, 1.1, 1.1, 1.0, 0.7, 0.7][isodow(d)]::DOUBLE AS w
               FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31',
                                                        INTERVAL 1 DAY)) AS DATE) AS d))
-        JOIN (SELECT channel_name, n, CAST(ROW_NUMBER() OVER (
-                         ORDER BY substr(md5(channel_name), 1, 3), channel_name) AS INTEGER)
-                         AS channel_id
-              FROM (SELECT lower(traffic_source || ' / ' || traffic_medium) AS channel_name,
+        JOIN (SELECT channel_name, n, CAST(ROW_NUMBER() OVER (ORDER BY first) AS INTEGER) AS channel_id
+              FROM (SELECT lower(traffic_source || ' / ' || traffic_medium) AS channel_name, MIN(event_id) AS first,
                            COUNT(DISTINCT CASE WHEN event_name = 'purchase'
                                                THEN user_pseudo_id END) AS n FROM stg GROUP BY 1))
           ON channel_name = 'google / cpc'""", "camp", "stg")

@@ -1,14 +1,16 @@
-"""Writing results: files, full refresh, append-only log, schema conforming."""
+"""Writing results: files, atomic full refresh, append-only log, schema conforming."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from mercata.sources import snapshots
+
 log = logging.getLogger(__name__)
 
 
@@ -19,23 +21,40 @@ def write_csv(df: DataFrame, path: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def full_refresh(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the table at ``path``; running twice leaves the same rows.
+def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
+    """Parquet in a folder per value of ``by``. Rows are rebalanced by that column first, so a
+    folder has a few files of even size, and a value with much of the data is split."""
+    df.hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by).parquet(path)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows as written to ``path``, so that what follows does not compute them again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+ROWS = "rows"  # the table of a folder that holds only one
+
+
+def full_refresh(df: DataFrame, path: str, partition_by: str | None = None, run: str | None = None) -> int:
+    """Replace the table at ``path`` in one step and return its new version. Readers of an older
+    version keep it, a failed run leaves it as it was, and running twice leaves the same rows."""
+    store = snapshots.Store(df.sparkSession, path).begin(run)
+    store.replace(ROWS, df, partition_by)
+    return store.commit()
+
 
-    With ``partition_by`` rows are rebalanced by that column first, so a partition is
-    a few files of even size and not one per task, and a partition value that holds
-    much of the data is split over several tasks.
-    """
-    if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite") \
-            .partitionBy(partition_by).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+def append_log(df: DataFrame, path: str, run: str | None = None) -> int:
+    """Add rows to a log table and keep what is there. ``run`` is the commit key: when the same
+    run is repeated, its rows replace those it wrote before."""
+    store = snapshots.Store(df.sparkSession, path).begin(run)
+    store.append(ROWS, df)
+    return store.commit()
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Add rows to a log table and keep what is there."""
-    df.write.mode("append").parquet(path)
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The table that ``full_refresh`` or ``append_log`` wrote, in its last or a given version."""
+    return snapshots.Store(spark, path).read(ROWS, version)
 
 
 def conform_schema(df: DataFrame, schema: StructType) -> DataFrame:

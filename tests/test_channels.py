@@ -6,36 +6,48 @@ from pyspark.sql import functions as F
 
 from frames import got
 from mercata.operators import channels as ch
-from mercata.operators.keys import dense_ids
+from mercata.operators.keys import first_seen_ids
+from mercata.session import scratch_folder
 
 
 def events(frame, rows):
     return frame("user_pseudo_id STRING, traffic_source STRING, traffic_medium STRING, "
-                 "event_name STRING", rows)
+                 "event_name STRING, line_no INT", [(*r, i) for i, r in enumerate(rows)])
 
 
 def test_spellings_are_one_channel(frame):
     out = ch.channel_dimension(events(frame, [
         ("u", "<Other>", "referral", "x"), ("u", "<other>", "Referral", "x"),
-        ("u", None, "cpc", "x"), ("u", "google", None, "x")]))
+        ("u", None, "cpc", "x"), ("u", "google", None, "x")]), ["line_no"])
     assert got(out, "channel_name", "channel_type") == [
         ("<other> / referral", "referral"), ("google / unknown", "other"),
         ("unknown / cpc", "paid")]
     assert sorted(r.channel_id for r in out.collect()) == [1, 2, 3]
 
 
-def test_dense_ids_are_dense_and_repeatable(spark):
-    df = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("name"))
-    a = dense_ids(df.repartition(3), "name", "n").orderBy("name").collect()
-    b = dense_ids(df.repartition(7), "name", "n").orderBy("name").collect()
-    assert a == b and sorted(r.n for r in a) == list(range(1, 20001))
+def test_channels_are_numbered_as_they_first_appear(frame):
+    rows = [("u", "b", "x", "e"), ("u", "a", "x", "e"), ("u", "B", "X", "e"), ("u", None, None, "e"), ("u", "a", "y", "e")]
+    for parts in (1, 5):
+        out = ch.channel_dimension(events(frame, rows).repartition(parts), ["line_no"])
+        assert got(out, "channel_id", "channel_name") == [(1, "b / x"), (2, "a / x"), (3, "unknown / unknown"), (4, "a / y")]
+    assert got(ch.channel_dimension(events(frame, []), ["line_no"])) == []
+
+
+def test_first_seen_ids_do_not_depend_on_partitions(spark):
+    df = spark.range(60000).select(F.concat(F.lit("k"), F.xxhash64(F.col("id") % 20000).cast("string")).alias("name"), "id")
+    out = []
+    for parts in (3, 7):
+        ids = first_seen_ids(df.repartition(parts), "name", ["id"], "n", scratch_folder(spark, "ids")).orderBy("n").collect()
+        out.append([(r["name"], r["n"]) for r in ids])
+    want = [r["name"] for r in df.where("id < 20000").orderBy("id").collect()]
+    assert out[0] == out[1] == [(name, i + 1) for i, name in enumerate(want)]
 
 
 def test_calibrated_spend(frame):
     ev = events(frame, [("u", "google", "cpc", "purchase"), ("u", "google", "cpc", "purchase"),
                         ("v", "Google", "cpc", "purchase"), ("w", "bing", "cpc", "view_item"),
                         ("u", "GOOGLE", "cpc", "purchase"), ("x", "google", "organic", "purchase")])
-    dim = ch.channel_dimension(ev)
+    dim = ch.channel_dimension(ev, ["line_no"])
     paying = ch.payers_by_channel(ev)  # u bought under two spellings of one channel
     out = ch.calibrated_spend(dim, paying, "20.50").join(dim, "channel_id")
     assert got(out, "channel_name", "total_spend") == [("bing / cpc", D("0.00")),

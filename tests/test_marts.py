@@ -5,7 +5,9 @@ import pytest
 
 from frames import got
 from mercata.operators import marts, quality
-from mercata.plans import views
+from mercata.plans import gate, views
+from mercata.session import scratch_folder
+from mercata.sources import writers
 
 EVENTS = ("event_id INT, event_date DATE, event_datetime TIMESTAMP_NTZ, event_name STRING, "
           "user_pseudo_id STRING, session_id STRING, traffic_source STRING, traffic_medium STRING, "
@@ -47,7 +49,7 @@ def test_customers_take_the_last_country_by_name(frame):
     assert got(out) == [("u", date(2024, 1, 2), "Zambia")]
 
 
-def test_orders_and_quarantine(frame):
+def test_orders_and_quarantine(frame, spark):
     events = frame(EVENTS, [
         ev(1, "2024-01-02 00:00:00", "purchase", txn="T1", value=5),
         ev(2, "2024-01-01 00:00:00", "purchase", txn="T1", value=4),
@@ -63,14 +65,18 @@ def test_orders_and_quarantine(frame):
     channels = frame("channel_id INT, channel_name STRING, channel_type STRING",
                      [(1, "s / m", "paid"), (1, "s / m", "paid")])
     camps = frame("campaign_id INT, channel_id INT, campaign_name STRING, start_date DATE, "
-                  "end_date DATE, budget DECIMAL(18;2)", [(1, 1, "x", None, None, None)])
+                  "end_date DATE, budget DECIMAL(18;2)", [(1, 1, "x", "2024-01-01", "2024-01-31", None)])
     spend = frame("spend_id INT, channel_id INT, campaign_id INT, spend_date DATE, "
                   "amount DECIMAL(18;2)", [(1, 1, 1, "2024-01-01", 2)])
-    m = views.build_marts(events, items, channels, camps, spend, ["event_id"])
+    folder = scratch_folder(spark, "gate")
+    gated = gate.gate(views.build_marts(events, items, channels, camps, spend, ["event_id"]),
+                      lambda name, df: writers.stored(df, f"{folder}/{name}"))
+    m = gated.loaded
     assert got(m["orders"], "order_id", "order_total", "order_status") == [
         ("T1", D("4.00"), "completed")]
-    assert got(m["orders_quarantine"], "order_id", "reason") == [("T2", "null order_total")]
+    assert got(gated.refused["orders"], "order_id", "reason") == [("T2", "null order_total")]
     assert got(m["order_items"], "order_id") == [("T1",)]
+    assert got(gated.refused["order_items"], "order_id", "reason") == [("T2", "orphan order_id")]
     assert m["marketing_channels"].count() == 1 and m["events"].count() == 5
     v = views.build_views(m)
     assert got(v["vw_channel_cac_roas"], "total_spend", "total_orders", "cac", "roas") == [

@@ -1,5 +1,9 @@
 from frames import got
+from pyspark.sql import functions as F
+
 from mercata.operators import quality as q
+from mercata.session import scratch_folder
+from mercata.sources import writers
 
 
 def tables(frame):
@@ -68,3 +72,67 @@ def test_nothing_at_all_passes(frame):
     checks = [q.null_checks(t), q.duplicate_key_checks(t), q.orphan_checks(t),
               q.invalid_value_checks(t)]
     assert got(q.dq_report(*checks).summary) == [(23, 23)]
+
+
+def test_all_rules_in_one_pass(frame):
+    t = tables(frame)
+    parts = [q.null_checks(t), q.duplicate_key_checks(t), q.orphan_checks(t), q.invalid_value_checks(t)]
+    apart = sorted(r for p in parts for r in got(p))
+    at_once = q.all_checks(t, q.NULL_RULES, q.value_rules(), q.KEY_RULES, q.PARENT_RULES)
+    assert got(at_once) == apart
+
+
+def test_each_table_is_scanned_once(spark, frame):
+    folder = scratch_folder(spark, "tables")
+    t = {n: writers.stored(df, f"{folder}/{n}") for n, df in tables(frame).items()}
+    plan = q.all_checks(t, q.NULL_RULES, q.value_rules(), q.KEY_RULES, q.PARENT_RULES)._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert initial.count("FileScan parquet") == len(t) and "Join" not in initial
+    # Two levels of one aggregate: by key, and over all keys.
+    assert initial.count("Exchange hashpartitioning") == 1 and initial.count("Exchange SinglePartition") == 1
+
+
+def test_keys_of_other_types_meet(frame):
+    t = {"p": frame("id INT", [(1,), (2,)]), "c": frame("fk BIGINT", [(1,), (3,), (3,), (None,)])}
+    assert got(q.orphan_checks(t, [("c", "fk", "p", "id")]), "details") == [("2 orphaned rows found",)]
+
+
+def gate_rows(spark):
+    df = spark.range(0, 20_000, 1, 4).selectExpr(
+        "id AS k", "IF(id % 3 = 0, 'hot', concat('p', id % 500)) AS fk", "IF(id % 4000 = 7, NULL, 1) AS v")
+    return df.unionByName(spark.sql("SELECT * FROM VALUES (5L, 'p5', 1), (90000L, 'lost', 1), (90001L, 'lost', NULL), "
+                                    "(NULL, 'p1', 1) AS t(k, fk, v)"))
+
+
+def test_rows_with_good_keys_are_not_moved(spark):
+    folder, names = scratch_folder(spark, "gate"), []
+
+    def keep(name, df):
+        names.append(name)
+        return writers.stored(df, f"{folder}/{name}")
+
+    df = keep("rows", gate_rows(spark))
+    parents = keep("parents", spark.range(500).selectExpr("concat('p', id) AS id").unionByName(spark.sql("SELECT 'hot' AS id")))
+    rules = dict(not_null=["v"], pk="k", fks=[("fk", parents, "id")])
+    marked = q.mark_violations(df, **rules, keep=keep)
+    assert names[-2:] == ["broken", "suspects"]
+    assert marked.exceptAll(q.mark_violations(df, **rules)).count() == 0 and marked.count() == df.count()
+    broken = spark.read.parquet(f"{folder}/broken")
+    assert got(broken, "rule", "key") == [(0, "5"), (1, "lost")]
+    clean, suspects = q.split_suspects(df, ["k", "fk"], broken)
+    assert clean.count() + suspects.count() == df.count() and suspects.count() <= 4 + 20
+    plan = clean._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    # Only the filter's words are dealt (once for each rule); rows meet them by broadcast.
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(word") == plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_full_filter_still_gives_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(q, "FILTER_WORDS", 2)
+    folder = scratch_folder(spark, "gate")
+    keep = lambda name, df: writers.stored(df, f"{folder}/{name}")
+    df = keep("rows", gate_rows(spark).withColumn("k", F.when(F.col("k") % 2 == 0, F.col("k") % 1000).otherwise(F.col("k"))))
+    parents = spark.sql("SELECT 'hot' AS id")
+    rules = dict(not_null=["v"], pk="k", unique=["v"], fks=[("fk", parents, "id")])
+    a, b = q.mark_violations(df, **rules, keep=keep), q.mark_violations(df, **rules)
+    assert got(a.groupBy("reason").count()) == got(b.groupBy("reason").count())
+    assert a.exceptAll(b).count() == 0

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_scan_prunes_partitions_and_pushes_names(spark):
     path = scratch_folder(spark, "test-scan")
-    writers.full_refresh(testbed.nested_events(spark, SF), path, partition_by="event_date")
+    writers.write_partitioned(testbed.nested_events(spark, SF), path, "event_date")
     scan = readers.scan_events(spark, path, "20240105", "20240108", readers.ITEM_EVENT_NAMES)
     want = testbed.nested_events(spark, SF).where(
         "event_date BETWEEN '20240105' AND '20240108' AND event_name <> 'page_view'")
@@ -37,7 +37,7 @@ def test_full_refresh_replaces_and_log_appends(spark, frame):
     for _ in range(2):
         writers.full_refresh(df, table)
         writers.append_log(df, log)
-    assert spark.read.parquet(table).count() == 2 and spark.read.parquet(log).count() == 4
+    assert writers.read_table(spark, table).count() == 2 and writers.read_table(spark, log).count() == 4
 
 
 def test_conform_drops_casts_and_adds(spark, frame):

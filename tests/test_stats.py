@@ -18,15 +18,55 @@ def column(spark, values):
         spark.sql("SELECT CAST(NULL AS DOUBLE)"))
 
 
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("accuracy", [100, 100_000])
-def test_quantiles_are_exact_whatever_the_sketch(spark, name, accuracy):
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    out = stats.exact_quantiles(column(spark, CASES[name]), "x", probs, accuracy)
-    want = np.quantile(CASES[name], probs)
+def test_quantiles_are_those_of_a_full_sort(spark, name):
+    out = stats.exact_quantiles(column(spark, CASES[name]), "x", PROBS)
+    want = np.quantile(CASES[name], PROBS)
     assert [r.value for r in out.orderBy("p").collect()] == pytest.approx(list(want), rel=1e-12)
 
 
+HARD = {
+    "both signs, far apart": [-1e300, -5.0, -1e-300, -0.0, 0.0, 5e-324, 1e-310, 1.0, 1.0000000000000002, 1e308],
+    "neighbours": [float(np.nextafter(1e9, 2e9)) if i % 2 else 1e9 for i in range(101)],
+    "infinite": [float("-inf")] * 3 + [1.0, 2.0] + [float("inf")] * 4,
+    "powers": [2.0 ** i for i in range(-1074, 1024, 7)],
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_ranks_of_hard_values(spark, name):
+    values = HARD[name]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    got = stats._selected(df, range(1, len(values) + 1))
+    assert [got[r] for r in range(1, len(values) + 1)] == sorted(values)
+
+
+def test_nan_is_above_all_numbers(spark):
+    df = spark.createDataFrame([(v,) for v in (float("nan"), 1.0, float("inf"), 2.0)], "v double")
+    got = stats._selected(df, [1, 2, 3])
+    assert [got[r] for r in (1, 2, 3)] == [1.0, 2.0, float("inf")]
+
+
+def test_a_round_holds_a_fixed_number_of_cells(spark, monkeypatch):
+    """Many distinct values: what reaches the driver in a round does not grow with them."""
+    sizes, at = [], stats._at
+    monkeypatch.setattr(stats, "_at", lambda cells, rank: sizes.append(len(cells)) or at(cells, rank))
+    df = spark.range(300_000).select((F.xxhash64("id") / 1e6).alias("x"))
+    out = {r.p: r.value for r in stats.exact_quantiles(df, "x", [0.5]).collect()}
+    want = df.orderBy("x").collect()
+    assert out[0.5] == pytest.approx((want[149_999].x + want[150_000].x) / 2, rel=1e-12)
+    assert max(sizes) <= stats.CELLS + 8700 and len(sizes) <= 2 * 6
+
+
+def test_no_values(spark):
+    assert stats.exact_quantiles(column(spark, np.array([1.0])).where("x IS NULL"), "x").collect() == []
+    row = stats.describe_values(column(spark, np.array([1.0])).where("x IS NULL"), "x").first()
+    assert row["count"] == 0 and row["p50"] is None
+
+
 def test_describe(spark):
     x = CASES["skewed"]
     want = pd.Series(x).describe()
