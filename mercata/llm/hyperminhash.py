@@ -1,8 +1,11 @@
 """Near copies by HyperMinHash sketches of word shingles, confirmed on full sets.
 
-1. Every document gives its set of shingle hashes and a sketch of it: 256 buckets by the first 8
-   bits, and for the least hash of each bucket a byte of its leading zeros (up to 14, plus one; an
-   empty bucket is 0) and the four bits after the first one. Equal sets are one row from here on.
+1. Every document gives its set of shingle hashes and a sketch of it, 256 registers: a hash falls
+   in a bucket by its first bits, and for the least hash of each bucket a byte holds its leading
+   zeros (up to 14, plus one; an empty bucket is 0) and the four bits after the first one. Small
+   sets fill fewer buckets (1, 4, 16, 64; at least 3 hashes for each), so as many hash functions
+   are used as give 256 registers; a set near a bound of sizes has a sketch for both sides of it.
+   Equal sets are one row from here on.
 2. Bands of 6 registers are hashed; an empty band is none. Two sets at the threshold differ in all
    42 bands with a chance of 2e-9, closer ones with less. Each row is tied to the least row of each
    of its bands, never to all of them, and the ties' components are groups: all rows that share a
@@ -41,32 +44,74 @@ from pyspark.sql import functions as F
 from mercata.llm.components import components
 from mercata.llm.jaccard import row_of, sets
 from mercata.llm.tokens import slices
-from mercata.llm.words import mixed
+from mercata.llm.words import FACTORS, mixed
 
 N = 3
 LEAST = 85  # percent
-BUCKETS = 256
+LEVELS = 4
+BUCKETS = REGISTERS = 4 ** LEVELS
+LOAD = 3
 BAND = 6
 ZEROS = 14
 SIGMAS = 6.5
 BLOCK_ROWS = 256
 BLOCK_BYTES = 8 << 20
-ROWS = "doc_id bigint, content bigint, row bigint, size int, registers binary"
+SKETCHES = "array<struct<level: int, registers: binary>>"
+ROWS = f"doc_id bigint, content bigint, row bigint, size int, sketches {SKETCHES}"
+SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * FACTORS[0])
+KIND = pa.list_(pa.struct([("level", pa.int32()), ("registers", pa.binary())]))
 FIRST = "a bigint, b bigint, label bigint, row bigint, linked boolean, grams binary"
 # Bounds of a register's cells in the unit interval: the last zeros, then 16 cells for each count.
 CELLS = np.array([0.0] + [2.0 ** -(z + 1) * (1 + j / 16) for z in range(ZEROS - 1, -1, -1) for j in range(16)] + [1.0])
 
 
-def registers(grams: list[np.ndarray]) -> np.ndarray:
-    """A row of bytes for each sorted set of hashes."""
-    out = np.zeros((len(grams), BUCKETS), np.uint8)
-    flat = np.concatenate([np.zeros(0, np.uint64), *grams])
-    place = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) * BUCKETS + (flat >> np.uint64(56)).astype(np.int64)
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    value = flat[first] << np.uint64(8)
-    zeros = 53 - np.frexp((value >> np.uint64(11)).astype(np.float64))[1]
-    rest = (value << np.minimum(zeros + 1, 63).astype(np.uint64)) >> np.uint64(60)
-    out.ravel()[place[first]] = np.where(zeros < ZEROS, (zeros + 1) * 16 + rest.astype(np.int64), (ZEROS + 1) * 16)
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Registers of least hashes, given from their highest bit on."""
+    zeros = 53 - np.frexp((values >> np.uint64(11)).astype(np.float64))[1]
+    rest = (values << np.minimum(zeros + 1, 63).astype(np.uint64)) >> np.uint64(60)
+    return np.where(zeros < ZEROS, (zeros + 1) * 16 + rest.astype(np.int64), (ZEROS + 1) * 16).astype(np.uint8)
+
+
+def registers(grams: list[np.ndarray], level: int = LEVELS) -> np.ndarray:
+    """A row of bytes for each sorted set of hashes: 4 ** level buckets for each of as many hash
+    functions as make 256 registers. The first function is the hash itself."""
+    buckets, bits = 4 ** level, np.uint64(2 * level)
+    out = np.zeros((len(grams), REGISTERS // buckets, buckets), np.uint8)
+    for a in range(0, len(grams), 4096):
+        part = grams[a:a + 4096]
+        flat = np.concatenate([np.zeros(0, np.uint64), *part])
+        row = np.repeat(np.arange(len(part), dtype=np.uint64), [len(g) for g in part])
+        starts = np.flatnonzero(np.diff(row, prepend=np.uint64(1 << 20)))
+        for k in range(out.shape[1] if len(flat) else 0):
+            own = mixed(flat ^ SEEDS[k]) if k else flat
+            if level == 0:
+                out[a + row[starts].astype(np.int64), k, 0] = _codes(np.minimum.reduceat(own, starts))
+                continue
+            at = row
+            if k:  # by row, then by hash
+                own = np.sort(row << np.uint64(52) | own >> np.uint64(12))
+                at, own = own >> np.uint64(52), own << np.uint64(12)
+            place = (at << bits | own >> (np.uint64(64) - bits)).astype(np.int64)
+            first = np.flatnonzero(np.diff(place, prepend=-1))
+            where = place[first]
+            out[a + where // buckets, k, where % buckets] = _codes(own[first] << bits)
+    return out.reshape(len(grams), REGISTERS)
+
+
+def level_of(size: np.ndarray) -> np.ndarray:
+    """The most buckets, as a power of 4, that LOAD hashes each can fill."""
+    return np.searchsorted([LOAD * 4 ** k for k in range(1, LEVELS + 1)], size, "right")
+
+
+def sketches(grams: list[np.ndarray], least: int) -> list[list[tuple[int, bytes]]]:
+    """For each set its registers at every level that a linked set may have."""
+    size = np.array([len(g) for g in grams], np.int64)
+    low, high = level_of(-(-size * least // 100)), level_of(size * 100 // least)
+    out: list[list[tuple[int, bytes]]] = [[] for _ in grams]
+    for level in range(LEVELS + 1):
+        chosen = np.flatnonzero((low <= level) & (level <= high) & (size > 0))
+        for i, row in zip(chosen.tolist(), registers([grams[i] for i in chosen], level), strict=True):
+            out[i].append((level, row.tobytes()))
     return out
 
 
@@ -126,26 +171,26 @@ def forest(grams: list[np.ndarray], own: int, least: int) -> list[tuple[int, int
     return out
 
 
-def sketched(docs: DataFrame, n: int) -> DataFrame:
+def sketched(docs: DataFrame, n: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 own = sets(part, n)
-                sketch = registers(own)
                 yield pa.RecordBatch.from_arrays([
                     part["doc_id"], part["content"], pa.array([row_of(s) if len(s) else None for s in own], pa.int64()),
-                    pa.array([len(s) for s in own], pa.int32()), pa.array([r.tobytes() for r in sketch], pa.binary())],
-                    ["doc_id", "content", "row", "size", "registers"])
+                    pa.array([len(s) for s in own], pa.int32()), pa.array(sketches(own, least), KIND)],
+                    ["doc_id", "content", "row", "size", "sketches"])
 
     return docs.mapInArrow(run, ROWS)
 
 
 def _bands(rows: DataFrame) -> DataFrame:
     """(band, row) for each band with a register."""
-    cut = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS // BAND - 1)),
-                      lambda k: F.struct(k.alias("k"), F.col("registers").substr(k * BAND + 1, F.lit(BAND)).alias("part")))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)),
+                      lambda k: F.struct(k.alias("k"), F.col("s.registers").substr(k * BAND + 1, F.lit(BAND)).alias("part")))
     some = F.filter(cut, lambda x: x["part"] != F.lit(bytes(BAND)))
-    return rows.select("row", F.explode(some).alias("x")).select(F.xxhash64("x.k", "x.part").alias("band"), "row")
+    return (rows.select("row", F.explode("sketches").alias("s")).select("row", "s.level", F.explode(some).alias("x"))
+            .select(F.xxhash64("level", "x.k", "x.part").alias("band"), "row"))
 
 
 def _group(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], columns: tuple[str, ...]) -> Iterator[tuple]:
@@ -278,11 +323,11 @@ def linked(spark: SparkSession, docs: DataFrame, scratch: str, key: str = "doc_i
 
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"),
                         F.xxhash64(F.col(text)).alias("content"))
-    all_rows = written(sketched(plain, n), "rows")
+    all_rows = written(sketched(plain, n, least), "rows")
     # A row's set is read again from the text of one of its documents, with an id if one has it.
     at = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "content")).alias("at")
-    rows = written(all_rows.where("row IS NOT NULL").groupBy("row", "size").agg(at, F.any_value("registers").alias("registers"))
-                   .select("row", "size", "at.doc_id", "at.content", "registers"), "distinct")
+    rows = written(all_rows.where("row IS NOT NULL").groupBy("row", "size").agg(at, F.any_value("sketches").alias("sketches"))
+                   .select("row", "size", "at.doc_id", "at.content", "sketches"), "distinct")
     bands = _bands(rows)
     firsts = written(bands.groupBy("band").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high")
                      .select("band", "low"), "bands")

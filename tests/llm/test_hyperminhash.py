@@ -132,6 +132,36 @@ def test_estimates_are_corrected_for_collisions(n, share):
     assert abs(np.mean(found) - share) < 4 * float(error[0, 0]) / 30 ** 0.5 and max(abs(f - share) for f in found) < 5 * float(error[0, 0])
 
 
+@pytest.mark.parametrize("level", [0, 1, 2, 3])
+def test_small_sets_have_more_hash_functions(level):
+    r = np.random.default_rng(level)
+    grams = [hashes(r, n) for n in r.integers(1, 800, 300)]
+    got = hm.registers(grams, level)
+    assert (got[:, :4 ** level] > 0).any() and got.shape == (300, 256)
+    for g, row in list(zip(grams, got, strict=True))[::37]:
+        for k in (0, 1, 256 // 4 ** level - 1):
+            own = hm.mixed(g ^ hm.SEEDS[k]) if k else g
+            for b in range(4 ** level):
+                mine = [int(x) for x in own if level == 0 or int(x) >> (64 - 2 * level) == b]
+                bits = f"{min(mine):064b}"[2 * level:] if mine else ""
+                zeros = len(bits) - len(bits.lstrip("0"))
+                want = (zeros + 1) * 16 + int(bits[zeros + 1:zeros + 5], 2) if bits and zeros < 14 else 240 if bits else 0
+                assert row[k * 4 ** level + b] == want
+    # At the threshold a register is equal with its probability, so a band is missed by chance only.
+    x = hashes(r, 40 * 4 ** level)
+    r.shuffle(x)
+    out = round(len(x) * 0.075)
+    a, b = hm.registers([np.sort(x[out:]), np.sort(x[:-out])], level)
+    assert (a == b).mean() > 0.7
+
+
+def test_linked_sets_share_a_level():
+    for small in range(1, 3000):
+        a = {k for k, _ in hm.sketches([np.arange(small, dtype=np.uint64)], 85)[0]}
+        big = small * 100 // 85
+        assert a & {k for k, _ in hm.sketches([np.arange(big, dtype=np.uint64)], 85)[0]}
+
+
 def test_block_and_pairwise_estimates_agree():
     r = np.random.default_rng(2)
     grams = [hashes(r, n) for n in r.integers(1, 500, 60)]
