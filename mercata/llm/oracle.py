@@ -61,26 +61,28 @@ SELECT w.doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
 FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id"""
 
 REVISITS = r"""
-WITH split AS (SELECT page_id, html, url, regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
-parts AS (SELECT page_id, html, url,
-    regexp_replace(lower(regexp_extract(bare, '^(?i:https?)://([^/?]*)', 1)), '^www\.|:(?:80|443)$', '', 'g') AS host,
-    regexp_replace(regexp_extract(bare, '^(?i:https?)://[^/?]*([^?]*)', 1), '/+$', '') AS path,
-    array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
-        lambda q: q <> '' AND NOT regexp_matches(q, '^(?:utm_[a-z]+|ref|sessionid|gclid|fbclid)=[^&]*'))), '&') AS query
-    FROM split),
-captures AS (SELECT page_id,
-    regexp_extract(host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END, '^([^/]*/[^/]*)', 1) AS resource,
-    page_id % 3 <> 0 AS revisit, CAST(page_id // 40 AS VARCHAR) AS version,
-    page_id % 7 <> 0 AND page_id % 11 <> 0 AS tagged, page_id % 11 <> 0 AS dated,
-    length(coalesce(html, '')) AS size FROM parts),
-found AS (SELECT *, CASE WHEN resource IS NOT NULL THEN max(page_id) FILTER (NOT revisit) OVER (
-    PARTITION BY resource ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source_id FROM captures),
-judged AS (SELECT o.*, r.size AS full_size, CASE WHEN r.page_id IS NULL THEN 'orphan'
+WITH u AS (SELECT page_id, html, split_part(trim(url), '#', 1) AS bare FROM pages),
+a AS (SELECT page_id, html, CASE WHEN bare ILIKE 'http://%' OR bare ILIKE 'https://%' THEN substr(bare, strpos(bare, '://') + 3)
+      END AS rest FROM u),
+b AS (SELECT page_id, html, split_part(rest, '?', 1) AS address,
+      CASE WHEN strpos(rest, '?') > 0 THEN string_split(substr(rest, strpos(rest, '?') + 1), '&') ELSE [] END AS args FROM a),
+c AS (SELECT page_id, html, split_part(address, '/', 1) AS site, address, list_sort(list_filter(args, lambda q: q <> '' AND
+      NOT regexp_full_match(q, '(utm_[a-z]+|ref|sessionid|gclid|fbclid)=.*'))) AS args FROM b),
+d AS (SELECT page_id, html, CASE WHEN site <> '' THEN
+      regexp_replace(regexp_replace(lower(site), '^www\.', ''), ':(80|443)$', '') || rtrim(substr(address, length(site) + 1), '/')
+      || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS resource FROM c),
+captures AS (SELECT page_id, crawl, page_id * 4 + crawl AS record, crawl * 1000000000 + page_id AS at, resource,
+    (page_id + crawl) % 3 <> 0 AS revisit, CAST((page_id + 13 * crawl) // 40 AS VARCHAR) AS version,
+    page_id % 7 <> 0 AND page_id % 11 <> 0 AS tagged, page_id % 11 <> 0 AS dated, length(coalesce(html, '')) AS size
+    FROM d, range(4) r(crawl)),
+found AS (SELECT *, CASE WHEN resource IS NOT NULL THEN arg_max(record, at) FILTER (NOT revisit) OVER (
+    PARTITION BY resource ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source FROM captures),
+judged AS (SELECT o.*, r.size AS full_size, CASE WHEN r.record IS NULL THEN 'orphan'
     WHEN (o.tagged AND r.tagged) OR (o.dated AND r.dated) THEN CASE WHEN o.version = r.version THEN 'resolved' ELSE 'mismatch' END
     ELSE 'unverified' END AS outcome
-    FROM found o LEFT JOIN captures r ON r.page_id = o.source_id WHERE o.revisit)
-SELECT page_id, resource AS url, source_id, outcome, CASE WHEN outcome IN ('resolved', 'unverified') THEN
-    'content-length=' || full_size || ';date=' || page_id || ';etag=' || version END AS headers
+    FROM found o LEFT JOIN captures r ON r.record = o.source WHERE o.revisit)
+SELECT page_id, crawl, resource AS url, source AS source_record, outcome, CASE WHEN outcome IN ('resolved', 'unverified') THEN
+    'content-length=' || full_size || ';date=' || at || ';etag=' || version END AS headers
 FROM judged"""
 
 

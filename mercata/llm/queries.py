@@ -52,7 +52,9 @@ def token_files(spark: SparkSession, sf: str) -> DataFrame:
 def revisit_resolution(spark: SparkSession, sf: str) -> DataFrame:
     found = revisits.resolve(revisits.captures_of_pages(table(spark, sf, "pages")))
     entries = F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return found.select(F.col("record").alias("page_id"), "url", F.col("source").alias("source_id"), "outcome",
+    crawls = F.lit(revisits.CRAWLS)
+    return found.select(F.floor(F.col("record") / crawls).alias("page_id"), (F.col("record") % crawls).alias("crawl"), "url",
+                        F.col("source").alias("source_record"), "outcome",
                         F.array_join(entries, ";").alias("headers"))
 
 

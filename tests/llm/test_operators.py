@@ -442,10 +442,37 @@ def test_revisits_of_one_url_by_brute_force(spark):
     assert {r["record"]: r["source"] for r in revisits.resolve(caps, 7).collect()} == want
 
 
+def test_roots_of_other_hosts_are_other_resources(spark):
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(
+        ["http://a.com/", "http://b.org/", "http://c.net", "https://www.a.com", None, "no url", None, "no url"])],
+        "page_id bigint, url string, html string")
+    caps = revisits.captures_of_pages(pages)
+    owner = {r["record"]: r["url"] for r in caps.collect()}
+    assert set(owner.values()) == {"a.com", "b.org", "c.net", None}
+    found = revisits.resolve(caps).collect()
+    assert {r["outcome"] for r in found if r["url"] is None} == {"orphan"}
+    assert all(owner[r["source"]] == r["url"] for r in found if r["source"] is not None)
+    assert {r["url"] for r in found if r["source"] is not None} == {"a.com", "b.org", "c.net"}
+
+
+def test_one_url_with_most_rows_is_in_many_blocks(spark):
+    cols = "record bigint, url string, time bigint, status int, etag string, modified string, digest string, headers map<string,string>"
+    rows = [(i, "hot" if i % 10 else f"u{i}", i // 3, 200 if i % 7 == 0 else 304, None, None, None, None) for i in range(3000)]
+    folder = queries.scratch_folder(spark, "blocks")
+    got = {r["record"]: r["source"] for r in revisits.resolve(spark.createDataFrame(rows, cols), 8, folder).collect()}
+    sizes = {r["block"]: r["count"] for r in spark.read.parquet(folder).groupBy("block").count().collect()}
+    assert len(sizes) == 8 and max(sizes.values()) < 1000
+    full = [r for r in rows if r[3] == 200 and r[1] == "hot"]
+    for i, url, t, status, *_ in rows:
+        if status == 304 and url == "hot":
+            assert got[i] == max(((x[2], x[0]) for x in full if x[2] < t), default=(None, None))[1]
+
+
 def test_canonical_urls(spark):
     from pyspark.sql import functions as F
     rows = [("HTTP://WWW.A.com:80/x/?utm_source=f&b=2&a=1#t", "a.com/x?a=1&b=2"), ("https://a.com/X/", "a.com/X"),
-            ("https://a.com?ref=x", "a.com"), (None, None), ("", "")]
+            ("https://a.com?ref=x", "a.com"), (None, None), ("", None), ("http://a.com/", "a.com"), ("mailto:x@a.com", None),
+            ("http:///path", None), (" https://m.b.org:443 ", "m.b.org")]
     df = spark.createDataFrame(rows, "url string, want string")
     assert all(r[0] == r[1] for r in df.select(revisits.canonical(F.col("url")), "want").collect())
 
