@@ -2,8 +2,9 @@
 
 Every round is a shuffle of the links with a minimum per node; nothing but the number of links
 and a checksum comes to the driver. A node may have a third of all links: its minimum is taken
-before the shuffle, and the join back is one that adaptive execution splits. Rounds are written
-to the shared scratch folder, so lineage stays short and a lost executor costs one round.
+before the shuffle, and the join back deals both sides anew (``dealt``), so that adaptive execution
+splits it. Rounds are written to the shared scratch folder, so lineage stays short and a lost
+executor costs one round.
 """
 
 from __future__ import annotations
@@ -12,6 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def dealt(rows: DataFrame, reduced: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join of rows with a frame that an aggregate by ``key`` (a whole number) made.
+
+    Joined by the key itself, the aggregate would stand between its shuffle and the join, and Spark
+    splits a hot key only where both sides of a join come from a shuffle of their own.
+    """
+    name = f"__not_{key}"
+    turned = F.bitwise_not(F.col(key)).alias(name)
+    return rows.withColumn(name, turned).join(
+        reduced.select(turned, *[c for c in reduced.columns if c != key]), name, how).drop(name)
+
+
 def components(spark: SparkSession, links: DataFrame, scratch: str) -> DataFrame:
     """(node, label): the smallest node reachable by ``links`` (a, b); nodes without a link to
     another one are left out."""
@@ -32,9 +45,9 @@ def components(spark: SparkSession, links: DataFrame, scratch: str) -> DataFrame
         state, n = now, n + 1
         # Large star: greater neighbours go to the least of the neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(least(both), "u").where("v > u")
+        large = (dealt(both, least(both), "u").where("v > u")
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         # Small star: lesser neighbours and the node itself go to the least of them.
         low = least(large)
-        edges = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = (dealt(large, low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())

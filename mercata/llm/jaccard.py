@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercata.llm.components import components
+from mercata.llm.components import components, dealt
 from mercata.llm.tokens import slices
 from mercata.llm.words import FACTORS, hashes, mixed, signed, split
 
@@ -270,11 +270,11 @@ def linked(spark: SparkSession, docs: DataFrame, scratch: str, key: str = "doc_i
     leading = spark.read.schema("gram bigint, row bigint, size int").parquet(f"{scratch}/leading")
     # Columns with two rows and more; copies that different tasks sent fall together here.
     many = leading.groupBy("gram").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high").select("gram")
-    leading.join(many, "gram").distinct().write.mode("overwrite").parquet(f"{scratch}/shared")
+    dealt(leading, many, "gram").distinct().write.mode("overwrite").parquet(f"{scratch}/shared")
     entries = spark.read.schema("gram bigint, row bigint, size int").parquet(f"{scratch}/shared")
     counts = entries.groupBy("gram").agg(F.count("*").alias("n"), F.min("row").alias("first"))
-    hot = entries.join(counts.where(F.col("n") > small), "gram").select(F.col("row").alias("a"), F.col("first").alias("b"))
-    few = entries.join(counts.where(F.col("n") <= small).select("gram"), "gram")
+    hot = dealt(entries, counts.where(F.col("n") > small), "gram").select(F.col("row").alias("a"), F.col("first").alias("b"))
+    few = dealt(entries, counts.where(F.col("n") <= small).select("gram"), "gram")
     least_size = lambda a, b: 100 * F.least(a, b) >= least * F.greatest(a, b)
     pairs = (few.select("gram", F.col("row").alias("a"), F.col("size").alias("p"))
              .join(few.select("gram", F.col("row").alias("b"), F.col("size").alias("q")), "gram")

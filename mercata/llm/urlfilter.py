@@ -134,7 +134,9 @@ def judge(spark: SparkSession, pages: DataFrame, keys: Sequence[str] = ("page_id
         if rules else fits.groupBy("address").agg(
             F.count("*").alias("candidates"),
             F.first(F.lit(None).cast("struct<action:string,name:string,pattern:string>")).alias("best")))
-    out = rows.join(best.withColumnRenamed("address", "__address"), "__address", "left")
+    # Dealt by another key than the aggregate, so that adaptive execution splits a hot address.
+    best = best.withColumnRenamed("address", "__address").withColumn("__deal", F.xxhash64("__address"))
+    out = rows.withColumn("__deal", F.xxhash64("__address")).join(best, ["__deal", "__address"], "left")
     return out.select(*keys, F.col("__host").alias("host"), F.col("__path").alias("path"),
                       F.col("best.name").alias("rule"),
                       F.coalesce("best.action", F.lit(default)).alias("verdict"),
