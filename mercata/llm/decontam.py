@@ -43,6 +43,7 @@ CHARS_PER_EDIT = 20  # a budget of 5 percent
 CHUNK_CHARS = 1_000_000
 SLICE = 1 << 20  # bytes of text that a task handles at once
 MARK_BITS = 22
+PAIRS = 1 << 20  # of a place in a text and one in an item, that are held at once
 PARTS = 16  # a part of an item has at most this share of a chunk, or a window
 BUCKETS = 64  # for each chunk; neighbours are put together as far as they fit
 REGIONS = "doc_id bigint, doc bigint, item bigint, part int, start bigint, end bigint, edits int"
@@ -90,6 +91,33 @@ def qgrams(flat: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+def _sums(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of letters times powers before each place, and the inverse power of each place."""
+    inverse = np.uint64(pow(int(FACTORS[0]), -1, 1 << 64))
+    powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(flat), FACTORS[0])]))
+    back = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(flat), inverse)]))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(flat.astype(np.uint64)) * powers[:-1])]), back
+
+
+def _stretch(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the letters of each stretch, wherever it stands."""
+    return (sums[0][end] - sums[0][start]) * sums[1][start]
+
+
+def _joined(spans: np.ndarray) -> np.ndarray:
+    """Spans (two keys, start, end, edits) of one pair of keys that touch, as one."""
+    if not spans.shape[1]:
+        return spans
+    a, b, start, end, edits = spans[:, np.lexsort((spans[3], spans[2], spans[1], spans[0]))]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    # The furthest end so far of the same keys: keys are ranked, so later ones are above all ends.
+    rank, far = np.cumsum(new), int(end.max()) + 1
+    upto = np.maximum.accumulate(rank * far + end) - rank * far
+    new[1:] |= start[1:] > upto[:-1]
+    first = np.flatnonzero(new)
+    return np.stack([a[first], b[first], start[first], np.maximum.reduceat(end, first), np.maximum.reduceat(edits, first)])
+
+
 @dataclass
 class Index:
     """Windows and q-grams of a chunk of the benchmark."""
@@ -104,6 +132,8 @@ class Index:
     base: np.ndarray  # where each item begins in flat
     ids: np.ndarray
     upto: np.ndarray  # windows before each item's, one entry more
+    held: np.ndarray  # items that have each window's text, windows in a row
+    held_upto: np.ndarray
 
     @classmethod
     def of(cls, ids: list[int], texts: list[str], q: int, window: int, stride: int) -> Index:
@@ -117,13 +147,29 @@ class Index:
             begin.append(places if places[-1] == b - m else np.append(places, b - m))
             many[i] = len(begin[-1])
             size.append(np.full(many[i], m))
+        begin, size = np.concatenate(begin), np.concatenate([np.zeros(0, np.int64), *size])
+        item = np.repeat(np.arange(len(ids)), many)
+        # A text that several windows have is searched once, at its first place.
+        text = np.zeros(len(begin), np.uint64)
+        for m in np.unique(size).tolist():
+            text[size == m] = mixed(qgrams(flat, m)[begin[size == m]] + np.uint64(m * int(FACTORS[1]) % 2**64))
+        _, first, same = np.unique(text, return_index=True, return_inverse=True)
+        kept = np.sort(first)
+        number = np.searchsorted(kept, first[same])
+        pairs = np.unique(number * max(len(ids), 1) + item)
+        held_upto = np.searchsorted(pairs, np.arange(len(kept) + 1) * max(len(ids), 1))
+        begin, size, item = begin[kept], size[kept], item[kept]
+        many = np.bincount(item, minlength=len(ids))
         owner = np.repeat(np.arange(len(ids)), np.diff(at))
         grams = qgrams(flat, q)
-        place = np.flatnonzero(owner[:len(grams)] == owner[q - 1:q - 1 + len(grams)]) if len(grams) else np.zeros(0, np.int64)
+        inside = np.zeros(len(flat) + 1, np.int64)  # places whose q-gram is in a window that is searched
+        np.add.at(inside, begin, 1)
+        np.add.at(inside, begin + size - q + 1, -1)
+        place = np.flatnonzero((owner[:len(grams)] == owner[q - 1:q - 1 + len(grams)]) & (np.cumsum(inside)[:len(grams)] > 0)) \
+            if len(grams) else np.zeros(0, np.int64)
         order = place[np.argsort(grams[place], kind="stable")] if len(place) else place
-        return cls(q, flat, np.repeat(np.arange(len(ids)), many), np.concatenate(begin),
-                   np.concatenate([np.zeros(0, np.int64), *size]), grams[order] if len(order) else np.zeros(0, np.uint64),
-                   order, owner, at[:-1], np.array(ids, np.int64), np.concatenate([[0], np.cumsum(many)]))
+        return cls(q, flat, item, begin, size, grams[order] if len(order) else np.zeros(0, np.uint64), order, owner, at[:-1],
+                   np.array(ids, np.int64), np.concatenate([[0], np.cumsum(many)]), pairs % max(len(ids), 1), held_upto)
 
     def __post_init__(self) -> None:
         self.budget = np.minimum(self.size // CHARS_PER_EDIT, (self.size - self.q) // self.q)
@@ -162,58 +208,106 @@ class Index:
         if not len(places):
             return []
         found = np.searchsorted(self.distinct, grams[places])
+        upto = np.concatenate([[0], np.cumsum(self.often[found])])
+        width = 2 * (int(self.budget.max()) + 1)
+        sums = _sums(flat)
+        out, a = [np.zeros((5, 0), np.int64)], 0
+        # So many places at once that their pairs with places of items fit; a match that begins
+        # among them ends within reach.
+        while a < len(places):
+            b = max(int(np.searchsorted(upto, upto[a] + PAIRS, "right")) - 1, a + 1)
+            c = int(np.searchsorted(places, places[b - 1] + reach))
+            out.append(self._block(flat, at, text, sums, places[a:c], found[a:c], width))
+            a = b
+        doc, item, start, end, edits = _joined(np.concatenate(out, axis=1))
+        return list(zip(*(x.tolist() for x in (doc, item, start - at[doc], end - at[doc], edits)), strict=True))
+
+    def _block(self, flat: np.ndarray, at: np.ndarray, text: np.ndarray, sums: tuple[np.ndarray, np.ndarray], places: np.ndarray,
+               found: np.ndarray, width: int) -> np.ndarray:
+        """doc, item, start, end, edits (places in ``flat``) of what bands of these places hold."""
         n = self.often[found]
         i = np.repeat(places, n)
         j = self.place[np.repeat(self.first[found] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        width = 2 * (int(self.budget.max()) + 1)
-        half = width // 2
         item, doc, diagonal = self.owner[j], text[i], i - j
-        windows, least = [], int(self.bound.min())
+        least, budget = int(self.bound.min()), int(self.budget.max())
+        out = [np.zeros((5, 0), np.int64)]
         # Bands of one parity do not overlap; those of the other are moved by half a width.
-        for shift in (0, half):
+        for shift in (0, width // 2):
             band = (diagonal + shift) // width
             order = np.lexsort((j, band, item, doc))
             a, b, c, d = doc[order], item[order], band[order], j[order]
             start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]))
-            stop = np.append(start[1:], len(a))
-            for s, e in zip(start.tolist(), stop.tolist(), strict=True):
-                if e - s < least:
-                    continue
-                w = np.arange(self.upto[b[s]], self.upto[b[s] + 1])
-                if e - s < self.bound[w].min(initial=1 << 30):
-                    continue
-                mine = np.unique(d[s:e])
-                count = (np.searchsorted(mine, self.begin[w] + self.size[w] - self.q, "right")
-                         - np.searchsorted(mine, self.begin[w]))
-                for k in w[count >= self.bound[w]].tolist():
-                    windows.append((int(a[s]), k, int(c[s]) * width - shift))
-        return self._verified(flat, at, sorted(set(windows)), width)
-
-    def _verified(self, flat: np.ndarray, at: np.ndarray, windows: list[tuple[int, int, int]], width: int) -> list:
-        out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+            count = np.diff(np.append(start, len(a)))
+            total = np.add.reduceat(d, start)
+            many = (count >= least) & (self.upto[b[start] + 1] > self.upto[b[start]])
+            start, count, total = start[many], count[many], total[many]
+            if not len(start):
+                continue
+            a, b, low = a[start], b[start], c[start] * width - shift
+            # Bands that meet the same text alike are looked at once, as those of a long run are.
+            last = self.upto[b + 1] - 1
+            first, past = self.begin[self.upto[b]] + low - budget, self.begin[last] + self.size[last] + low + width + budget
+            lo, hi = np.maximum(first, at[a]), np.minimum(past, at[a + 1])
+            alike = np.stack([b, lo - first, past - hi, _stretch(sums, lo, np.maximum(lo, hi)).view(np.int64), count, total])
+            _, one, same = np.unique(alike, axis=1, return_index=True, return_inverse=True)
+            found = self._bands(flat, at, a[one], b[one], low[one], [d[s:s + k] for s, k in zip(start[one], count[one], strict=True)], width)
+            # To all bands that are like the one looked at, moved along with them.
+            by = np.argsort(found[0], kind="stable")
+            found = found[:, by]
+            begin = np.searchsorted(found[0], np.arange(len(one) + 1))
+            n_found = np.diff(begin)[same.ravel()]
+            group = np.repeat(np.arange(len(a)), n_found)
+            row = np.repeat(begin[:-1][same.ravel()] - (np.cumsum(n_found) - n_found), n_found) + np.arange(n_found.sum())
+            moved = low[group] - low[one][found[0][row]]
+            out.append(np.stack([a[group], found[1][row], found[2][row] + moved, found[3][row] + moved, found[4][row]]))
+        return np.concatenate(out, axis=1)
+
+    def _bands(self, flat: np.ndarray, at: np.ndarray, doc: np.ndarray, item: np.ndarray, low: np.ndarray,
+               shared: list[np.ndarray], width: int) -> np.ndarray:
+        """Number of the band, item, start, end, edits of the regions in some bands."""
+        windows: list[tuple[int, int, int, int]] = []
+        for g, (a, b, x, j) in enumerate(zip(doc.tolist(), item.tolist(), low.tolist(), shared, strict=True)):
+            w = np.arange(self.upto[b], self.upto[b + 1])
+            mine = np.unique(j)
+            count = (np.searchsorted(mine, self.begin[w] + self.size[w] - self.q, "right")
+                     - np.searchsorted(mine, self.begin[w]))
+            w = w[count >= self.bound[w]]
+            if len(w):
+                w = w[self._covered(flat, int(at[a]), int(at[a + 1]), w, x, width)]
+                windows += [(g, a, k, x) for k in w.tolist()]
+        spans = [np.zeros((5, 0), np.int64)]
         for a in range(0, len(windows), 4096):
-            part = windows[a:a + 4096]
-            doc, k, low = (np.array(x, np.int64) for x in zip(*part, strict=True))
-            start = self._verbatim(flat, at[doc], at[doc + 1], k, low, width)
+            band, text, k, x = (np.array(v, np.int64) for v in zip(*windows[a:a + 4096], strict=True))
+            start = self._verbatim(flat, at[text], at[text + 1], k, x, width)
             edits, end = np.zeros(len(k), np.int64), start + self.size[k]
             rest = np.flatnonzero(start < 0)
             if len(rest):
                 edits[rest], start[rest], end[rest] = self._align(
-                    flat, at[doc[rest]], at[doc[rest] + 1], k[rest], low[rest], width)
-            for t in np.flatnonzero(edits <= self.budget[k]).tolist():
-                out.setdefault((int(doc[t]), int(self.item[k[t]])), []).append((int(start[t]), int(end[t]), int(edits[t])))
-        regions = []
-        for (doc, item), spans in sorted(out.items()):
-            spans.sort()
-            a, b, e = spans[0]
-            for s, t, x in spans[1:]:
-                if s <= b:
-                    b, e = max(b, t), max(e, x)
-                else:
-                    regions.append((doc, item, a, b, e))
-                    a, b, e = s, t, x
-            regions.append((doc, item, a, b, e))
-        return [(d, i, a - int(at[d]), b - int(at[d]), e) for d, i, a, b, e in regions]
+                    flat, at[text[rest]], at[text[rest] + 1], k[rest], x[rest], width)
+            good = np.flatnonzero(edits <= self.budget[k])
+            # A text that several items have is found in all of them.
+            n = np.diff(self.held_upto)[k[good]]
+            row = np.repeat(good, n)
+            held = self.held[np.repeat(self.held_upto[k[good]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            spans.append(np.stack([band[row], held, start[row], end[row], edits[row]]))
+        return _joined(np.concatenate(spans, axis=1))
+
+    def _covered(self, flat: np.ndarray, lo: int, hi: int, windows: np.ndarray, low: int, width: int) -> np.ndarray:
+        """Which windows may be within their budget in a band. A match with k edits is k + 1 equal
+        stretches at most, each on one diagonal; at most k + 1 + k characters are then not in a
+        stretch of two or more."""
+        cells = np.arange(width + 2 * int(self.budget.max()))
+        a, b = int(self.begin[windows[0]]), int((self.begin[windows] + self.size[windows]).max())
+        place = a + low - int(self.budget.max()) + cells[:, None] + np.arange(b - a)
+        equal = (place >= lo) & (place < hi)
+        equal &= flat[np.clip(place, 0, len(flat) - 1)] == self.flat[a:b]
+        run = equal.copy()
+        run[:, 1:] &= equal[:, :-1]
+        run[:, 0] = False
+        run[:, :-1] |= run[:, 1:]
+        upto = np.concatenate([[0], np.cumsum(run.any(axis=0))])
+        begin, size = self.begin[windows] - a, self.size[windows]
+        return size - (upto[begin + size] - upto[begin]) <= 2 * self.budget[windows] + 1
 
     def _verbatim(self, flat: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
         """Where each window stands letter by letter on the first such diagonal of those that
