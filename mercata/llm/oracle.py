@@ -71,18 +71,18 @@ c AS (SELECT page_id, html, split_part(address, '/', 1) AS site, address, list_s
 d AS (SELECT page_id, html, CASE WHEN site <> '' THEN
       regexp_replace(regexp_replace(lower(site), '^www\.', ''), ':(80|443)$', '') || rtrim(substr(address, length(site) + 1), '/')
       || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS resource FROM c),
-captures AS (SELECT page_id, crawl, page_id * 4 + crawl AS record, crawl * 1000000000 + page_id AS at, resource,
+captures AS (SELECT page_id, crawl, page_id * 4 + crawl AS record, crawl * 1000000000 + page_id AS seen, resource,
     (page_id + crawl) % 3 <> 0 AS revisit, CAST((page_id + 13 * crawl) // 40 AS VARCHAR) AS version,
     page_id % 7 <> 0 AND page_id % 11 <> 0 AS tagged, page_id % 11 <> 0 AS dated, length(coalesce(html, '')) AS size
     FROM d, range(4) r(crawl)),
-found AS (SELECT *, CASE WHEN resource IS NOT NULL THEN arg_max(record, at) FILTER (NOT revisit) OVER (
-    PARTITION BY resource ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source FROM captures),
+found AS (SELECT *, CASE WHEN resource IS NOT NULL THEN arg_max(record, seen) FILTER (NOT revisit) OVER (
+    PARTITION BY resource ORDER BY seen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS source FROM captures),
 judged AS (SELECT o.*, r.size AS full_size, CASE WHEN r.record IS NULL THEN 'orphan'
     WHEN (o.tagged AND r.tagged) OR (o.dated AND r.dated) THEN CASE WHEN o.version = r.version THEN 'resolved' ELSE 'mismatch' END
     ELSE 'unverified' END AS outcome
     FROM found o LEFT JOIN captures r ON r.record = o.source WHERE o.revisit)
 SELECT page_id, crawl, resource AS url, source AS source_record, outcome, CASE WHEN outcome IN ('resolved', 'unverified') THEN
-    'content-length=' || full_size || ';date=' || at || ';etag=' || version END AS headers
+    'content-length=' || full_size || ';date=' || seen || ';etag=' || version END AS headers
 FROM judged"""
 
 
