@@ -506,3 +506,25 @@ def test_rollups(spark, tmp_path):
     assert totals() == {("a", "en", "v"): (1, 10), ("b", "en", "v"): (1, 8), (None, None, "v"): (1, 0)}
     with pytest.raises(ValueError):
         commit(0)
+    # Rows without an id are taken back together; a batch below the highest one is refused.
+    commit(6, ("insert", None, "n", "en", "v", 3), ("insert", None, "n", "en", "v", 4))
+    assert totals()["n", "en", "v"] == (2, 7)
+    commit(7, ("delete", None, None, None, None, None), ("insert", 5, "n", "en", "v", 1))
+    assert totals()["n", "en", "v"] == (1, 1)
+    before = totals()
+    with pytest.raises(ValueError, match="after batch 7"):
+        commit(5, ("insert", 9, "a", "en", "v", 7))
+    assert totals() == before
+
+
+def test_a_small_batch_reads_touched_buckets(spark, tmp_path):
+    store = str(tmp_path)
+    cols = "op string, doc_id bigint, source string, lang string, version string, tokens bigint"
+    rollups.commit(spark, store, 1, spark.range(500).selectExpr("'insert' op", "id doc_id", "'a' source", "'en' lang", "'v' version", "1L tokens"))
+    log = rollups._read(spark, f"{store}/log", rollups.LOG)
+    assert log.select("bucket").distinct().count() == rollups.BUCKETS
+    one = log.where("doc_id = 7").first()["bucket"]
+    assert all(f"bucket={one}/" in f for f in log.where(f"bucket = {one}").select("doc_id").inputFiles()) or \
+        "PartitionFilters: [isnotnull(bucket" in log.where(f"bucket = {one}")._jdf.queryExecution().executedPlan().toString()
+    rollups.commit(spark, store, 2, spark.createDataFrame([("delete", 7, None, None, None, None)], cols))
+    assert rollups.totals(spark, store).first()["docs"] == 499
