@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm.tokens import binary
+from mercata.llm.words import frees
 
 MAGIC = 0x314E4152
 LANES = 1024
@@ -130,14 +131,14 @@ def unpack_block(model: Model, payload: bytes, checkpoint: int = 0) -> tuple[np.
 
 def frequencies(ids: DataFrame, vocabulary: int, width: int = 2) -> np.ndarray:
     """Counts of all ids; a task sends a row per id at most, the driver gets as many."""
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for value in batch["ids"]:
-                total += np.bincount(np.frombuffer(value.as_buffer(), f"<u{width}"), minlength=vocabulary) \
-                    if len(value.as_buffer()) > vocabulary else 0
-                if len(value.as_buffer()) <= vocabulary:
-                    np.add.at(total, np.frombuffer(value.as_buffer(), f"<u{width}"), 1)
+            _, offsets, data = batch["ids"].cast(pa.large_binary()).buffers()
+            if data:  # the ids of all documents of the batch in a row
+                at = np.frombuffer(offsets, np.int64, batch.num_rows + 1, 8 * batch["ids"].offset)
+                total += np.bincount(np.frombuffer(data, np.uint8)[at[0]:at[-1]].view(f"<u{width}"), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
 
@@ -157,6 +158,7 @@ def write(spark: SparkSession, ids: DataFrame, path: str, vocabulary: int, width
     spark.createDataFrame([(int(i), int(freq[i])) for i in np.flatnonzero(freq)], "id int, frequency int") \
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part = Model(freq), TaskContext.get().partitionId()
         held: list[tuple[int | None, np.ndarray]] = []
@@ -196,6 +198,7 @@ def read(spark: SparkSession, path: str, vocabulary: int) -> DataFrame:
     parts = sorted(blocks.groupBy("part").agg(F.sum("tokens").alias("n")).collect())
     first = dict(zip([p for p, _ in parts], np.cumsum([0] + [n for _, n in parts]).tolist(), strict=False))
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(freq)
         for batch in batches:

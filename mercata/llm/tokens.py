@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from mercata.llm.words import fresh
+from mercata.llm.words import frees, fresh
 
 SLICE_BYTES = 4 << 20  # text that is handled at once
 CACHED_WORDS = 1_000_000
@@ -77,7 +77,15 @@ class Encoder:
         otherwise than on its small letter, and special tokens are looked for in the raw text."""
         same = pc.string_is_ascii(words)
         for token in self.tokenizer.get_added_tokens_decoder().values():
-            same = pc.and_not(same, pc.match_substring(words, token.content, ignore_case=True))
+            head = token.content[:1]
+            if head.lower() == head.upper():  # a mark, looked for in all words, is cheaper than any case
+                near = pc.match_substring(words, head)
+                if not pc.any(near).as_py():
+                    continue
+                near = pc.replace_with_mask(near, near, pc.match_substring(words.filter(near), token.content, ignore_case=True))
+            else:
+                near = pc.match_substring(words, token.content, ignore_case=True)
+            same = pc.and_not(same, near)
         return pc.if_else(same, pc.ascii_lower(words), words)
 
     def _known(self, words: list[str]) -> np.ndarray:
@@ -183,6 +191,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int | None = None, key: str
               text: str = "text", width: int = 4) -> DataFrame:
     """(doc_id, ids): the ids of each whole text as little-endian unsigned integers of
     ``width`` bytes, with ``end`` after them. NULL texts are empty."""
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
         for batch in batches:
