@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercata.llm.tokens import slices
-from mercata.llm.words import FACTORS, mixed
+from mercata.llm.words import FACTORS, frees, mixed
 
 Q = 12
 WINDOW = 80
@@ -378,6 +378,7 @@ def regions(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str
         rows = parts.where(F.col("bucket").between(low, high)).orderBy("item", "part").select("item", "part", "text").collect()
         sent = spark.sparkContext.broadcast(([(r["item"], r["part"]) for r in rows], [r["text"] for r in rows]))
 
+        @frees
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, texts = sent.value
             index = Index.of(list(range(len(ids))), texts, q, window, stride)

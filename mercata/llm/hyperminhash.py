@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from mercata.llm.components import components
 from mercata.llm.jaccard import row_of, sets
 from mercata.llm.tokens import slices
-from mercata.llm.words import FACTORS, mixed
+from mercata.llm.words import FACTORS, frees, mixed
 
 N = 3
 LEAST = 85  # percent
@@ -172,6 +172,7 @@ def forest(grams: list[np.ndarray], own: int, least: int) -> list[tuple[int, int
 
 
 def sketched(docs: DataFrame, n: int, least: int) -> DataFrame:
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -208,6 +209,7 @@ def _group(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], columns: tu
 
 def _first(texts: DataFrame, n: int, least: int) -> DataFrame:
     """Links of groups of one block; rows of larger ones, and whether they are linked to the least."""
+    @frees
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -220,6 +222,7 @@ def _first(texts: DataFrame, n: int, least: int) -> DataFrame:
                     kept["label"], kept["row"], kept["blocks"], pa.array(blocks.astype(np.int32)),
                     pa.array([own[i].tobytes() for i in same], pa.binary())], ["label", "row", "blocks", "block", "grams"])
 
+    @frees
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
             a, b = zip(*found, strict=True) if found else ((), ())
@@ -285,6 +288,7 @@ def _rest(spark: SparkSession, large: DataFrame, scratch: str, least: int, most:
      .write.mode("overwrite").parquet(f"{scratch}/open"))
     groups = spark.read.schema("label bigint, n_open int, n_done int").parquet(f"{scratch}/open")
 
+    @frees
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> pa.RecordBatch:
             own = len(held) if key[1] == key[2] else sum(t == 0 for t, _, _ in held)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mercata.llm.components import components, dealt
 from mercata.llm.tokens import slices
-from mercata.llm.words import FACTORS, hashes, mixed, signed, split
+from mercata.llm.words import FACTORS, frees, hashes, mixed, signed, split
 
 N = 4
 LEAST = 85  # percent
@@ -83,6 +83,7 @@ def counter_bits(size: int) -> int:
 
 def _rows(docs: DataFrame, n: int, bits: int) -> DataFrame:
     """A row per document, and per task the counters of its n-grams, cut into chunks."""
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << bits, np.uint32)
         for batch in batches:
@@ -112,6 +113,7 @@ def _levels(rows: DataFrame, bits: int) -> np.ndarray:
     mean = (rows.agg(F.sum("size")).first()[0] or 0) / (1 << bits)
     base = mean + 4 * mean ** 0.5 + 4
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -133,6 +135,7 @@ def _leading(spark: SparkSession, docs: DataFrame, levels: np.ndarray, n: int, l
     """(gram, row, size) of each row's leading columns; copies within a task once."""
     sent, bits = spark.sparkContext.broadcast(levels), len(levels).bit_length() - 1
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = sent.value, set()
         for batch in batches:
@@ -222,9 +225,11 @@ def attached(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
 
 def _links(members: DataFrame, docs: DataFrame, n: int, least: int, block: int) -> DataFrame:
     """Links within groups. ``members``: doc_id, row, label of the group, rows of the group."""
+    @frees
     def attach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return attached(batches, n)
 
+    @frees
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 

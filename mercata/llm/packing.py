@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercata.llm.tokens import encoder, slices
+from mercata.llm.words import frees
 
 LENGTH = 4096
 OPEN = 32
@@ -110,6 +111,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, scratch: str, end
     ``scratch`` is a shared folder for the pieces of the first pass."""
     columns = [c.split()[0] for c in PIECES.split(", ")]
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part = encoder(tokenizer), TaskContext.get().partitionId()
         state, done = Windows(length, windows), 0

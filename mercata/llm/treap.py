@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercata.llm.tokens import slices
-from mercata.llm.words import fresh, split
+from mercata.llm.words import frees, fresh, split
 
 TOP = 50
 SHARD_BYTES = 6 << 20
@@ -272,6 +272,7 @@ class Best:
 
 def statistics(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and all terms with repeats."""
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = TABLE != 0x20
         docs = many = 0
@@ -297,6 +298,7 @@ def statistics(docs: DataFrame) -> tuple[int, int]:
 def write_index(docs: DataFrame, path: str, n_docs: int, n_terms: int, shard_bytes: int = SHARD_BYTES,
                 shard_docs: int = SHARD_DOCS) -> None:
     """A row per shard of ``docs`` (doc_id, text) in ``path``."""
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Postings()
         for batch in batches:
@@ -315,6 +317,7 @@ def write_index(docs: DataFrame, path: str, n_docs: int, n_terms: int, shard_byt
 
 
 def _item_terms(items: DataFrame) -> DataFrame:
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -365,6 +368,7 @@ def ranked(spark: SparkSession, docs: DataFrame, items: DataFrame, scratch: str,
     write_index(plain, f"{scratch}/index", n_docs, n_terms, shard_bytes, shard_docs)
     index = spark.read.schema(INDEX).parquet(f"{scratch}/index")
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Best] = {}
         for batch in batches:
