@@ -661,9 +661,10 @@ def extract_numbers(spark, sf):
 
 @query
 def unverified_numbers(spark, sf):
-    """First number of each page that is not in its address."""
+    """First number in the text of each page that is not in its address."""
+    shown = F.regexp_replace(F.regexp_replace("html", "(?s)^.*<body[^>]*>", ""), "<[^>]*>", " ")
     return t.table(spark, sf, "pages").select(
-        "page_id", g.first_unverified(F.col("html"), F.col("url")).alias("number"))
+        "page_id", g.first_unverified(shown, F.col("url")).alias("number"))
 
 
 @query
@@ -673,14 +674,16 @@ def metric_mislabel(spark, sf):
 
 
 def _order_explanations(spark, sf) -> DataFrame:
-    """One explanation per order: exact, 1% off, 5% off, or without the metric."""
+    """One explanation per order: exact, 1% off, 5% off, or without the metric; returns on both
+    sides of both bounds and on them."""
     o = t.table(spark, sf, "orders")
     total = F.col("o_totalprice").cast("decimal(18,2)")
     key = F.col("o_orderkey")
     base = o.select(
         "o_orderkey", F.col("o_orderpriority").alias("channel_name"),
         F.round(total / 10, 2).alias("total_spend"), total.alias("attributed_revenue_linear"),
-        F.lit(10).cast("decimal(18,2)").alias("roas"),
+        F.get(F.array(*[F.lit(r).cast("decimal(18,2)") for r in ("10", "0.5", "0.8", "1.5", "1.51")]),
+              (key % 5).cast("int")).alias("roas"),
         (key % 50 + 10).cast("decimal(18,2)").alias("cac"))
     recs = budget.render_explanation(budget.recommend(base))
     factor = F.when(key % 4 == 1, F.lit("1.01")).when(key % 4 == 2, F.lit("1.05")).otherwise("1")

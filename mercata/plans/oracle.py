@@ -812,8 +812,9 @@ def build() -> dict[str, str]:
         FROM (SELECT doc_id, n, unnest(range(1, len(n) + 1)) AS i
               FROM (SELECT doc_id, {NUMBERS.format('text')} AS n FROM documents))""")
     add("unverified_numbers", f"""SELECT page_id, {_first_bad('r', 'p')} AS number
-        FROM (SELECT page_id, {NUMBERS.format('html')} AS r, {NUMBERS.format('url')} AS p
-              FROM pages)""")
+        FROM (SELECT page_id, {NUMBERS.format('shown')} AS r, {NUMBERS.format('url')} AS p
+              FROM (SELECT *, regexp_replace(regexp_replace(html, '(?s)^.*<body[^>]*>', ''), '<[^>]*>', ' ', 'g') AS shown
+                    FROM pages))""")
     near = """len(list_filter(t, lambda i: len(list_filter(m, lambda j: abs(i - j) <= 5)) > 0)) > 0"""
     add("metric_mislabel", f"""SELECT doc_id, {near} AS flagged
         FROM (SELECT doc_id, list_filter(range(1, len(w) + 1), lambda i: contains(w[i], 'THE')) AS t,
@@ -821,23 +822,25 @@ def build() -> dict[str, str]:
               FROM (SELECT doc_id, regexp_split_to_array(upper(text), '{SPACES}') AS w
                     FROM documents))""")
     # One explanation per order; the prompt holds the exact figures.
-    exact = _sentence("o_orderpriority", "s", "r", "10", "c", "'Increase'", "'15'")
-    altered = _sentence("o_orderpriority", "s", "f", "10", "c", "'Increase'", "'15'")
+    advice = (f"({DIRECTION})", f"CAST({CHANGE} AS VARCHAR)")
+    exact = _sentence("o_orderpriority", "s", "r", "roas", "c", *advice)
+    altered = _sentence("o_orderpriority", "s", "f", "roas", "c", *advice)
     roas_by_dollar = """len(list_filter(range(1, len(w) + 1), lambda i: contains(upper(w[i]), 'ROAS')
         AND len(list_filter(w[greatest(i - 5, 1):i + 5], lambda x: contains(x, '$'))) > 0)) > 0"""
     add("validation_status", f"""
-        SELECT o_orderpriority AS channel_name, 'Increase' AS recommend_direction,
-               15 AS suggested_change_pct, response AS llm_explanation,
+        SELECT o_orderpriority AS channel_name, {DIRECTION} AS recommend_direction,
+               {CHANGE} AS suggested_change_pct, response AS llm_explanation,
                CASE WHEN {_first_bad('rn', 'pn')} IS NOT NULL
                         THEN '{g.STATUS_UNVERIFIED}'
                     WHEN {roas_by_dollar} THEN '{g.STATUS_MISLABELLED}'
                     ELSE '{g.STATUS_PASSED}' END AS validation_status
         FROM (SELECT *, {NUMBERS.format('response')} AS rn, {NUMBERS.format('prompt')} AS pn,
                      string_split(response, ' ') AS w
-              FROM (SELECT o_orderpriority, {exact} AS prompt,
+              FROM (SELECT o_orderpriority, roas, {exact} AS prompt,
                            CASE WHEN key4 = 3 THEN 'Spent $' || {_plain('s')} || '.'
                                 ELSE {altered} END AS response
                     FROM (SELECT o_orderpriority, o_orderkey % 4 AS key4,
+                                 [10.00, 0.50, 0.80, 1.50, 1.51][CAST(o_orderkey % 5 + 1 AS INTEGER)] AS roas,
                                  CAST(ROUND(p * 0.1, 2) AS DECIMAL(18,2)) AS s, p AS r,
                                  o_orderkey % 50 + 10 AS c,
                                  CAST(ROUND(p * CASE o_orderkey % 4 WHEN 1 THEN 1.01 WHEN 2 THEN 1.05
