@@ -1,7 +1,7 @@
 """Token ids in files, packed by a range asymmetric numeral system with fixed frequencies.
 
 One table of frequencies, counted over all ids, serves all blocks. A block holds whole documents
-and is coded alone: its ids go round robin to up to 1,024 interleaved states, so that one numpy
+and is coded alone: its ids go round robin to up to 4,096 interleaved states, so that one numpy
 operation codes a step of all of them. The block keeps the states and the place in its words at
 every CHECKPOINT-th step, from which decoding can begin as well, and a checksum of all its bytes.
 
@@ -30,8 +30,8 @@ from mercata.llm.tokens import binary
 from mercata.llm.words import frees
 
 MAGIC = 0x314E4152
-LANES = 1024
-BLOCK_TOKENS = 1 << 18
+LANES = 4096
+BLOCK_TOKENS = 1 << 20
 CHECKPOINT = 128
 BITS = 20  # frequencies add up to 2 ** BITS
 LOW = 31  # states are at least 2 ** LOW

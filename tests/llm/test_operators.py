@@ -166,6 +166,53 @@ def test_spellings_share_ids_only_where_the_library_gives_the_same():
         assert ids.tolist() == ids_of(f"so {word} it") + ids_of(word.swapcase()), word
 
 
+def test_marks_are_parted_and_small_letters_need_no_normalizer():
+    class Refuses:
+        def __init__(self, tool):
+            self.tool = tool
+
+        def __getattr__(self, name):
+            if name.startswith("encode"):
+                raise AssertionError("the whole tokenizer is used")
+            return getattr(self.tool, name)
+
+    tool = tokens.Encoder(queries.tokenizer())
+    marks, _ = tool.encode(pa.array([". , !"]), None)
+    assert marks.tolist() == ids_of(". , !")[:-1] and tool.splits and tool.lowers
+    tool.tokenizer = Refuses(tool.tokenizer)
+    text = "Haus haus. Haus! gr\u00f6\u00dfe, Gr\u00f6\u00dfe ni\u00f1o ni\u00f1o! \u0142zy"
+    ids, at = tool.encode(pa.array([text]), 2)
+    assert ids.tolist() == ids_of(text) and at.tolist() == [0, len(ids)]
+    assert set(tool.slots) == {"", "!", ".", ",", "haus", "gr\u00f6\u00dfe", "ni\u00f1o", "\u0142zy"}
+
+
+@pytest.mark.parametrize("change", [
+    {}, {"normalizer": {"type": "NFC"}}, {"normalizer": None}, {"normalizer": {"type": "NFKC"}},
+    {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}},
+    {"added_tokens": [{"id": 49_408, "content": "ab", "single_word": False, "lstrip": False, "rstrip": False,
+                       "normalized": False, "special": True}]},
+])
+def test_words_of_many_letters_equal_the_library(tmp_path, change):
+    import json
+
+    from tokenizers import Tokenizer
+    with open(queries.tokenizer()) as f:
+        form = json.load(f) | change
+    (tmp_path / "one.json").write_text(json.dumps(form))
+    library, tool = Tokenizer.from_file(str(tmp_path / "one.json")), tokens.Encoder(str(tmp_path / "one.json"))
+    r = random.Random(7)
+    plain, more = "abcde\u00e9\u00df\u00e4\u0142.,", [
+        *"abAB\u00df\u00e4\u00c9\u0130\u0131\u01c4\u01c5\u0149\u017f\u00d7\u00f7\u03a3\u03c2'.,!_-#|<>%09\u0301\u0338\u200b\u0085\x1c\ufb01\u1100\u1161\u00bd\u00aa\U0001f600",
+        "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "\u00a0", "e\u0301"]
+    for _ in range(300):
+        texts = [" ".join("".join(r.choices(letters, k=r.randint(0, 9))) for _ in range(r.randint(0, 12)))
+                 for letters in (plain, more, plain, more)]
+        ids, at = tool.encode(pa.array(texts), 2)
+        for i, text in enumerate(texts):
+            assert ids[at[i]:at[i + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
+
+
 def test_token_files(spark, case, tmp_path):
     tokens.tokenized(case, queries.tokenizer(), 2, width=2).write.parquet(f"{tmp_path}/ids")
     rans.write(spark, spark.read.parquet(f"{tmp_path}/ids"), f"{tmp_path}/files", queries.VOCABULARY)
