@@ -2,7 +2,7 @@
 
 An as-of join: a revisit takes the latest full response of its canonical URL with an earlier
 time (ties between responses: the greatest record). A URL may hold a third of all rows, so rows
-are dealt in ranges of (URL, time, record) and written: a URL with many rows has several blocks, a
+are dealt in ranges of (URL, time, revisits first, record) and written: a URL with many rows has several blocks, a
 block is one task's range. A URL's last response per block is carried into its later blocks through
 one narrow row a block, and only then the rows of one URL and one block meet in a window.
 
@@ -65,7 +65,8 @@ def resolve(captures: DataFrame, blocks: int | None = None, scratch: str | None
     known = named.where("status = 304 OR status BETWEEN 200 AND 299")
     revisit = F.col("status") == 304
     spark = captures.sparkSession
-    order = ["url", "at", "record"]
+    # No response is in an earlier block than a revisit of its time.
+    order = ["url", "at", F.when(revisit, 0).otherwise(1), "record"]
     ranged = known.repartitionByRange(blocks, *order) if blocks else known.repartitionByRange(*order)
     folder = scratch or scratch_folder(spark, "revisits")
     (ranged.withColumns({"block": F.spark_partition_id(), "response": F.when(~revisit, F.col("own"))})

@@ -518,6 +518,13 @@ def test_one_url_with_most_rows_is_in_many_blocks(spark):
             assert got[i] == max(((x[2], x[0]) for x in full if x[2] < t), default=(None, None))[1]
 
 
+def test_a_response_of_the_same_time_in_another_block_is_not_earlier(spark):
+    cols = "record bigint, url string, time bigint, status int, etag string, modified string, digest string, headers map<string,string>"
+    rows = [(i, "one", i // 400, 200 if i % 2 else 304, None, None, None, None) for i in range(800)]
+    got = {r["record"]: r["source"] for r in revisits.resolve(spark.createDataFrame(rows, cols), 8).collect()}
+    assert got == {i: 399 if i >= 400 else None for i in range(0, 800, 2)}
+
+
 def test_canonical_urls(spark):
     from pyspark.sql import functions as F
     rows = [("HTTP://WWW.A.com:80/x/?utm_source=f&b=2&a=1#t", "a.com/x?a=1&b=2"), ("https://a.com/X/", "a.com/X"),
